@@ -1,0 +1,10 @@
+"""Size checks that decide whether a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
