@@ -34,7 +34,7 @@ _DAY_OF_YEAR = r"^((?!0000)\d{4}-\d{3})\s+(\d{2}:\d{2}:\d{2})(?s:.*)$"
 
 _EXPONENT = r"^[0-9]+\.[0-9]+[eE]\+[0-9]+$"
 # Spark reads these as instants before year 1 or after year 9999.
-_FAR_YEAR = r"^[\s\p{Cntrl}]*(-|\+?(\d{5,6}(?!\d)|0000))"
+_FAR_YEAR = r"^[\s\p{Cntrl}]*(-|\+?([1-9]\d{4,5}|0[1-9]\d{4}|0{4,6})(?!\d))"
 
 
 def normalize_ts(value: Column) -> Column:

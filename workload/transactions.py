@@ -61,6 +61,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise("STANDARD")
             .alias("orig_kyc_level"),
         )
+        .dropDuplicates(["__orig"])
     )
     beneficiaries = (
         table(spark, sf_dir, "supplier")
@@ -69,6 +70,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_suppkey").alias("__ben"),
             _pick(COUNTRIES, F.col("s_nationkey") % 10).alias("ben_home_jurisdiction_id"),
         )
+        .dropDuplicates(["__ben"])
     )
     typed = table(spark, sf_dir, "events").select(
         F.concat(F.lit("T"), event).alias("transaction_id"),
@@ -106,7 +108,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (event % ORIGINATORS).alias("__orig"),
         (event % BENEFICIARIES).alias("__ben"),
     )
-    # The keys above are 0..96 and 0..9, so each side is at most that many parties.
+    # Parties are joined on keys 0..96 and 0..9, so each side is at most that many rows. Being
+    # unique by the key, a side also drops out of queries that use none of its columns.
     return (
         typed.join(F.broadcast(originators), "__orig", "left")
         .join(F.broadcast(beneficiaries), "__ben", "left")
