@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataValueLength", "10000")
         .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .getOrCreate()
@@ -36,9 +37,12 @@ def settings(spark):
 
     def change(values: dict[str, str]) -> None:
         for key, value in values.items():
-            changed.setdefault(key, spark.conf.get(key))
+            changed.setdefault(key, spark.conf.get(key, None))
             spark.conf.set(key, value)
 
     yield change
     for key, value in changed.items():
-        spark.conf.set(key, value)
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)

@@ -15,7 +15,7 @@ MAX_BROADCAST_RATES = 10_000
 def needed_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
     """The rates of currencies that occur in the data."""
     used = df.select(F.upper(F.trim("currency_code")).alias("currency_code")).distinct()
-    return rates.join(used, "currency_code", "left_semi")
+    return rates.join(used, "currency_code")
 
 
 def convert_to_usd(df: DataFrame, rates: DataFrame) -> DataFrame:

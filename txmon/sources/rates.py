@@ -13,16 +13,18 @@ def fx_rates(quotes: DataFrame) -> DataFrame:
     always there at exactly 1. Where a code is quoted more than once the highest quote
     wins, so the result does not depend on row order.
     """
-    quoted = (
+    dollar = quotes.sparkSession.range(0, 1, 1, 1).select(
+        F.lit("USD").alias("currency_code"), F.lit(1.0).alias("units_per_usd")
+    )
+    code = F.col("currency_code")
+    rate = F.when(code == "USD", 1.0).otherwise(1.0 / F.max("units_per_usd"))
+    return (
         quotes.select(
             F.upper(F.trim("currency_code")).alias("currency_code"),
             F.expr("try_cast(units_per_usd AS double)").alias("units_per_usd"),
         )
-        .where("units_per_usd > 0 AND NOT isnan(units_per_usd) AND currency_code <> 'USD'")
-        .groupBy("currency_code")
-        .agg((1.0 / F.max("units_per_usd")).alias("usd_rate"))
-    )
-    dollar = quotes.sparkSession.range(0, 1, 1, 1).select(
-        F.lit("USD").alias("currency_code"), F.lit(1.0).alias("usd_rate")
+        .where("units_per_usd > 0 AND NOT isnan(units_per_usd) AND currency_code IS NOT NULL")
+        .unionByName(dollar)
+        .groupBy(code)
+        .agg(rate.alias("usd_rate"))
     )
-    return quoted.unionByName(dollar)
