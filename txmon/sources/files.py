@@ -26,10 +26,16 @@ def read_raw_csv(
     return reader.csv(path)
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Write strings in the dialect :func:`read_raw_csv` reads, blanks kept as they are."""
+def write_raw_csv(df: DataFrame, path: str, records_per_file: int = 100_000) -> None:
+    """Write strings in the dialect :func:`read_raw_csv` reads, blanks kept as they are.
+
+    A reader task takes a whole file, so the records per file are limited.
+    """
     df.write.options(
-        **_DIALECT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        **_DIALECT,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        maxRecordsPerFile=records_per_file,
     ).mode("errorifexists").csv(path)
 
 

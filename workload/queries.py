@@ -48,7 +48,7 @@ def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_file(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "raw-csv")
-    files.write_raw_csv(raw_transactions(spark, sf_dir), path)
+    files.write_raw_csv(raw_transactions(spark, sf_dir), path, records_per_file=10_000)
     return path
 
 
