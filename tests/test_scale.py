@@ -10,7 +10,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from txmon.operators import features
+from txmon.operators import features, fx
+from txmon.operators.alerts import has_alert
 from txmon.plans import pipeline, reports
 from workload.queries import queries
 from workload.transactions import transactions
@@ -69,7 +70,9 @@ def test_transactions_are_shuffled_once(spark, settings, hot):
     assert text.count("HashAggregate") >= 2 * (len(exchanges) - 4)
 
 
-def test_hot_account_is_split(spark, settings, hot):
+@pytest.fixture
+def small_partitions(settings):
+    """What counts as hot on a cluster, scaled down; and no broadcast instead of a shuffle."""
     settings(
         {
             "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -79,14 +82,55 @@ def test_hot_account_is_split(spark, settings, hot):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
         }
     )
+
+
+def test_hot_account_is_split(small_partitions, hot):
     df = features.with_account_features(hot)
-    total = df.agg(F.count("*"), F.max("rapid_seq_txn_cnt")).first()
-    assert total[0] == 300_000
+    total = df.agg(F.count("*"), F.max("rapid_seq_txn_cnt"), F.sum(F.length("payload")))
     # Every transaction of the hot account without a time sees all of them.
-    assert total[1] == 100_000
-    final = df.groupBy().agg(F.sum("prev24h_credit_sum_usd"), F.sum(F.length("payload")))
-    final.collect()
-    assert "SortMergeJoin(skew=true)" in plan(final)
+    assert tuple(total.first()) == (300_000, 100_000, 300_000 * 100)
+    total.collect()
+    assert "SortMergeJoin(skew=true)" in plan(total)
+
+
+def test_hot_account_day_is_split(small_partitions, hot):
+    df = hot.withColumn("booking_ts_ts", F.lit(dt.datetime(2026, 1, 1)))
+    joined = features.with_near_threshold(df)
+    total = joined.agg(F.count("*"), F.max("near_thr_cash_cnt"), F.sum(F.length("payload")))
+    assert total.first()[0] == 300_000
+    total.collect()
+    assert "SortMergeJoin(skew=true)" in plan(total)
+
+
+@pytest.mark.parametrize("shared", ["T0", None])
+def test_hot_transaction_id_is_split(small_partitions, hot, shared):
+    n = F.col("transaction_id").cast("int")
+    gold = hot.select(
+        F.when(n % 3 == 0, F.lit(shared)).otherwise(F.col("transaction_id")).alias("transaction_id"),
+        "amount_usd",
+        F.lit(1).alias("risk_score_simple"),
+        F.sha2("payload", 256).alias("transaction_type"),
+    )
+    alerts = gold.where("amount_usd < 6500").select("transaction_id")
+    marked = has_alert(gold, alerts)
+    total = marked.agg(F.count("*"), F.sum("has_alert"), F.max("transaction_type"))
+    half = 100_000 if shared is None else 200_000
+    assert tuple(total.first())[:2] == (300_000, half)
+    total.collect()
+    assert "SortMergeJoin(skew=true)" in plan(total)
+
+
+def test_hot_currency_is_split_beyond_the_broadcast_bound(small_partitions, hot, monkeypatch):
+    monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 100)
+    n = F.col("transaction_id").cast("int")
+    code = F.when(n % 3 == 0, F.lit("USD")).otherwise(F.concat(F.lit("C"), n % 5000))
+    tx = hot.withColumn("currency_code", code).withColumnRenamed("amount_usd", "amount_num")
+    codes = tx.groupBy("currency_code").agg(F.lit(2.0).alias("usd_rate"))
+    converted = fx.convert_to_usd(tx, codes)
+    total = converted.agg(F.count("*"), F.sum("dq_fx_missing"), F.sum(F.length("payload")))
+    assert tuple(total.first())[:2] == (300_000, 0)
+    total.collect()
+    assert "SortMergeJoin(skew=true)" in plan(total)
 
 
 def test_window_partitions_are_bounded(spark, hot):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txmon.operators.joins import attach
 from txmon.operators.rules import RULES, Rule
 
 
@@ -50,8 +51,6 @@ def to_alerts(gold: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 def has_alert(gold: DataFrame, alerts: DataFrame) -> DataFrame:
     """Every gold row with 1 where its transaction id has an alert, else 0."""
     alerted = alerts.select("transaction_id").distinct().withColumn("has_alert", F.lit(1))
-    return (
-        gold.select("transaction_id", "amount_usd", "risk_score_simple", "transaction_type")
-        .join(alerted, "transaction_id", "left")
-        .withColumn("has_alert", F.coalesce("has_alert", F.lit(0)))
-    )
+    columns = ["transaction_id", "amount_usd", "risk_score_simple", "transaction_type"]
+    marked = attach(gold.select(*columns), alerted, ["transaction_id"])
+    return marked.withColumn("has_alert", F.coalesce("has_alert", F.lit(0)))

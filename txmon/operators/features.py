@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from txmon.config import DEFAULT_RULES_CONFIG, MONEY, MONEY_SUM, RuleConfig
 from txmon.functions import signals
+from txmon.operators.joins import attach
 
 _BLOCK_SECONDS = 7 * 86_400
 _NEAR_FEATURES = {
@@ -59,18 +60,20 @@ def near_threshold_daily(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG)
 def with_near_threshold(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG) -> DataFrame:
     """Add the account-day figures to every transaction of that day, zeros where none."""
     df = df.withColumn("booking_date", F.to_date("booking_ts_ts"))
-    joined = df.join(near_threshold_daily(df, cfg), ["account_id", "booking_date"], "left")
-    return joined.withColumns(_near_or_zero())
+    daily = near_threshold_daily(df, cfg)
+    return attach(df, daily, ["account_id", "booking_date"]).withColumns(_near_or_zero())
 
 
 def with_prev_credit(df: DataFrame, seconds: int = 24 * 3600) -> DataFrame:
     """Add the account's credits in the ``seconds`` before the transaction's own second."""
-    return _attach(df, _range_features(_per_second(df), seconds, 0), ["prev24h_credit_sum_usd"])
+    ranges = _range_features(_per_second(df), seconds, 0)
+    return _by_second(df, ranges.drop("rapid_seq_txn_cnt"))
 
 
 def with_rapid_sequence(df: DataFrame, seconds: int = 10 * 60) -> DataFrame:
     """Add the account's number of transactions within ``seconds`` before or after."""
-    return _attach(df, _range_features(_per_second(df), 0, seconds), ["rapid_seq_txn_cnt"])
+    ranges = _range_features(_per_second(df), 0, seconds)
+    return _by_second(df, ranges.drop("prev24h_credit_sum_usd"))
 
 
 def with_account_features(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG) -> DataFrame:
@@ -83,8 +86,9 @@ def with_account_features(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG)
         ranges.withColumn("booking_date", day)
         .join(near_threshold_daily(df, cfg), ["account_id", "booking_date"], "left")
         .withColumns(_near_or_zero())
+        .drop("booking_date")
     )
-    return _attach(df, features, [*_NEAR_FEATURES, "prev24h_credit_sum_usd", "rapid_seq_txn_cnt"])
+    return _by_second(df, features)
 
 
 def _near_or_zero() -> dict[str, Column]:
@@ -141,13 +145,7 @@ def _range_features(per_second: DataFrame, lookback: int, radius: int) -> DataFr
     )
 
 
-def _attach(df: DataFrame, features: DataFrame, names: list[str]) -> DataFrame:
+def _by_second(df: DataFrame, features: DataFrame) -> DataFrame:
     """Join per-second features to the transactions; unknown accounts and times match, too."""
     df = df.withColumn("ts_sec", _event_second())
-    side = features.select(
-        F.col("account_id").alias("__account"), F.col("ts_sec").alias("__second"), *names
-    )
-    same_key = F.col("account_id").eqNullSafe(F.col("__account")) & F.col("ts_sec").eqNullSafe(
-        F.col("__second")
-    )
-    return df.join(side, same_key, "left").drop("__account", "__second")
+    return attach(df, features, ["account_id", "ts_sec"], match_unknown=True)

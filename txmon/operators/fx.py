@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txmon.config import MONEY
-from txmon.operators.sizing import fits
+from txmon.operators.joins import attach, fits
 
 # One row per currency: the ISO list has under 200, so the bound is generous.
 MAX_BROADCAST_RATES = 10_000
@@ -31,7 +31,7 @@ def convert_to_usd(df: DataFrame, rates: DataFrame) -> DataFrame:
     if fits(rates, MAX_BROADCAST_RATES):
         joined = df.join(F.broadcast(rates), "currency_code", "left")
     else:
-        joined = df.join(rates, "currency_code", "left")
+        joined = attach(df, rates, ["currency_code"])
     rate = F.coalesce("usd_rate", F.lit(1.0))
     return joined.select(
         *columns,

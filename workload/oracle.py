@@ -449,6 +449,9 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(sum(CAST({f} AS INTEGER)) AS BIGINT) AS {f}" for f in _FLAGS) + " FROM gold",
         "top_risk_transactions": TX_GOLD + f"""
             SELECT {_TOP} FROM gold ORDER BY risk_score_simple DESC, transaction_id LIMIT 100""",
+        "top_risk_transactions_full": TX_GOLD + """
+            SELECT * EXCLUDE (geo_touch) FROM gold
+            ORDER BY risk_score_simple DESC, transaction_id LIMIT 100""",
         "alert_type_counts": TX_ALERTS + _counts("alerts", "alert_type"),
         "account_day_drilldown": TX_GOLD + """
             SELECT transaction_id, account_id, amount_usd, transaction_type, direction,

@@ -280,6 +280,9 @@ def queries() -> dict[str, Query]:
         "tx_has_alert": tx_has_alert,
         "flag_totals": _on_gold(reports.flag_totals),
         "top_risk_transactions": _on_gold(reports.top_risk_transactions),
+        "top_risk_transactions_full": _on_gold(
+            lambda gold: reports.top_risk_transactions(gold, columns=None)
+        ),
         "alert_type_counts": _on_alerts(reports.alert_type_counts),
         "account_day_drilldown": _on_gold(_drilldown),
         "tx_type_mix": _on_gold(reports.tx_type_mix),
