@@ -84,7 +84,9 @@ def test_amounts(spark):
 )
 @given(
     st.lists(
-        st.text(alphabet=" \t\nTRUEFALSuetrnaN/K.0", max_size=8) | st.none(), min_size=1, max_size=40
+        st.text(alphabet=" \t\nTRUEFALSuetrnaN/K.0", max_size=8) | st.none(),
+        min_size=1,
+        max_size=40,
     )
 )
 def test_cleaning_twice_changes_nothing(spark, texts):

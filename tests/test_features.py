@@ -155,7 +155,8 @@ def test_near_threshold_days(spark):
         ("A", 2): (1, Decimal("9000.00"), 1),
         (None, 1): (1, Decimal("9000.00"), 1),
     }
-    counts = [r["near_thr_cash_cnt"] for r in features.with_near_threshold(df).orderBy("id").collect()]
+    rows = features.with_near_threshold(df).orderBy("id").collect()
+    counts = [r["near_thr_cash_cnt"] for r in rows]
     # An unknown account or day matches nothing.
     assert counts == [3, 3, 3, 3, 3, 3, 1, 0, 0, 3]
     joined = features.with_account_features(df).orderBy("id").collect()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 
 from txmon.config import TIMESTAMP_COLUMNS
@@ -69,7 +71,9 @@ def test_rates(spark):
 def test_conversion_with_small_and_large_rate_tables(spark, settings, monkeypatch, bound):
     monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", bound)
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    quotes = spark.createDataFrame([("EUR", 1.25), ("USD", 1.0)], "currency_code string, usd_rate double")
+    quotes = spark.createDataFrame(
+        [("EUR", 1.25), ("USD", 1.0)], "currency_code string, usd_rate double"
+    )
     tx = spark.createDataFrame(
         [(1, " eur ", "100.00"), (2, "XXX", "7.00"), (3, None, "8.00"), (4, "USD", None),
          (5, "EUR", "9999999999999999.99")],
@@ -95,6 +99,19 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_without_the_setting():
+    def session(master):
+        return SimpleNamespace(
+            conf={}, sparkContext=SimpleNamespace(master=master, applicationId="app")
+        )
+
+    local = session("local[2]")
+    first, second = scratch_dir(local, "x"), scratch_dir(local, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"), "x")
+
+
 def test_shuffles_grow_with_the_input(spark, settings):
     settings({"spark.sql.shuffle.partitions": "8"})
     configure(spark, 1 << 20)

@@ -41,7 +41,8 @@ def test_ties_are_ordered(spark):
 
 def test_unknown_day_is_a_group(spark):
     gold = spark.createDataFrame(
-        [(None, 1.0), (None, 2.0), (dt.date(2026, 1, 1), 4.0)], "booking_date date, amount_usd double"
+        [(None, 1.0), (None, 2.0), (dt.date(2026, 1, 1), 4.0)],
+        "booking_date date, amount_usd double",
     )
     rows = [tuple(r) for r in reports.daily_trend(gold).collect()]
     assert rows == [(None, 2, 3.0), (dt.date(2026, 1, 1), 1, 4.0)]

@@ -66,7 +66,8 @@ CASES = [
     ({**CASH, "amount_usd": Decimal("5000.01"), "acct_created_ts_ts": None}, set()),
     ({**WIRE, "prev24h_credit_sum_usd": Decimal("10000.00")}, {"LAYERING_PASS_THROUGH"}),
     ({**WIRE, "prev24h_credit_sum_usd": Decimal("9999.99")}, set()),
-    ({"transaction_type": "SEPA", "amount_usd": Decimal("-200")}, {"LAYERING_ROUND", "ROUND_DOLLAR"}),
+    ({"transaction_type": "SEPA", "amount_usd": Decimal("-200")},
+     {"LAYERING_ROUND", "ROUND_DOLLAR"}),
     ({"amount_usd": Decimal("0")}, {"ROUND_DOLLAR"}),
     ({"orig_sanctions_flag": True}, {"SANCTIONS_HIT"}),
     ({"orig_sanctions_flag": False, "ben_sanctions_flag": True}, {"SANCTIONS_HIT"}),
@@ -125,7 +126,8 @@ def test_alerts_and_reasons(spark):
         "transaction_id", "account_id", "amount_usd", "booking_ts",
         "alert_type", "alert_reason", "tx_risk_score",
     ]
-    assert {(r["transaction_id"], r["alert_type"]): r["alert_reason"] for r in alerts.collect()} == {
+    reasons = {(r["transaction_id"], r["alert_type"]): r["alert_reason"] for r in alerts.collect()}
+    assert reasons == {
         ("T1", "STRUCTURING"):
             "Multiple cash deposits near threshold on same day | count=3 | sum_usd=26000.50",
         ("T1", "SMURFING"):

@@ -106,7 +106,9 @@ def test_hot_account_day_is_split(small_partitions, hot):
 def test_hot_transaction_id_is_split(small_partitions, hot, shared):
     n = F.col("transaction_id").cast("int")
     gold = hot.select(
-        F.when(n % 3 == 0, F.lit(shared)).otherwise(F.col("transaction_id")).alias("transaction_id"),
+        F.when(n % 3 == 0, F.lit(shared))
+        .otherwise(F.col("transaction_id"))
+        .alias("transaction_id"),
         "amount_usd",
         F.lit(1).alias("risk_score_simple"),
         F.sha2("payload", 256).alias("transaction_type"),

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from txmon.functions.timestamps import normalize_ts
+from txmon.functions.timestamps import normalize_ts, parse_timestamp
 from txmon.operators.clean import parse_timestamps
 
 # The layouts, in the order they are to be tried.
@@ -114,6 +114,13 @@ def test_normalized_text(spark, raw, norm):
     assert parsed(spark, [raw])[0][0] == norm
 
 
+def test_one_column_expression(spark):
+    df = spark.createDataFrame([("13/04/2026",), ("10:30",)], "t string")
+    assert [r[0] for r in df.select(parse_timestamp(F.col("t"))).collect()] == [
+        dt.datetime(2026, 4, 13), None,
+    ]
+
+
 def _corpus(size: int) -> list[str]:
     """Times in every layout, some of them damaged."""
     rng = random.Random(7)

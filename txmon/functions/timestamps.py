@@ -57,13 +57,16 @@ def plain_number(text: Column) -> Column:
     return F.when(text.rlike(_EXPONENT), number).when(text != "", text)
 
 
-def parse_timestamp(raw: Column, normalized: Column) -> Column:
+def parse_timestamp(raw: Column, normalized: Column | None = None) -> Column:
     """The raw text read in Spark's notation, which keeps its zone, else the normalised
     text in the first layout that fits, else NULL.
 
     An ambiguous "03/04/2026" is month-first. Years outside 1..9999 and times of day
-    without a date (Spark would put them on today) are no timestamps.
+    without a date (Spark would put them on today) are no timestamps. ``normalized`` is
+    :func:`normalize_ts` of the raw text, where the caller has it already.
     """
+    if normalized is None:
+        normalized = normalize_ts(raw)
     timed_only = F.instr(normalized, ":").between(1, 4) | F.lower(normalized).startswith("t")
     return F.when(
         ~timed_only, F.coalesce(_iso(raw), F.when(normalized.isNotNull(), _layouts(normalized)))

@@ -39,16 +39,12 @@ class Rule:
 
 
 def _structuring(cfg: RuleConfig) -> Column:
-    return _in_band(cfg) & (F.col("near_thr_cash_cnt") >= cfg.structuring_deposits)
+    return signals.near_threshold(cfg) & (F.col("near_thr_cash_cnt") >= cfg.structuring_deposits)
 
 
 def _smurfing(cfg: RuleConfig) -> Column:
-    return _in_band(cfg) & (F.col("near_thr_cash_dist_depositors") >= cfg.smurfing_depositors)
-
-
-def _in_band(cfg: RuleConfig) -> Column:
-    amount = F.col("amount_usd")
-    return F.col("is_cash_credit") & (amount >= cfg.near_low) & (amount < cfg.near_high)
+    depositors = F.col("near_thr_cash_dist_depositors")
+    return signals.near_threshold(cfg) & (depositors >= cfg.smurfing_depositors)
 
 
 def _placement(cfg: RuleConfig) -> Column:

@@ -11,6 +11,7 @@ from txmon.operators import clean, features
 from txmon.operators.alerts import to_alerts
 from txmon.operators.fx import convert_to_usd
 from txmon.operators.rules import FLAGS, apply_rules, with_risk_score
+from txmon.session import configure
 from txmon.sources.files import read_raw_csv, with_lineage
 from txmon.sources.layers import ensure_layers, write_layer
 
@@ -72,8 +73,13 @@ def run(
     prefix: str = "",
     location: str | None = None,
     cfg: RuleConfig = DEFAULT_RULES_CONFIG,
+    input_bytes: int | None = None,
 ) -> Layers:
-    """Raw files to alerts. Each layer is written once and the next reads it from storage."""
+    """Raw files to alerts. Each layer is written once and the next reads it from storage.
+
+    ``input_bytes``, the size of the raw files, sizes the shuffles.
+    """
+    configure(spark, input_bytes)
     ensure_layers(spark, prefix, location)
     raw = read_raw_csv(spark, raw_path)
     b = write_layer(bronze(raw), "bronze", BRONZE_TABLE, prefix)

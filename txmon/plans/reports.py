@@ -132,8 +132,9 @@ def alert_risk_grid(alerts: DataFrame) -> DataFrame:
     )
     counted = F.coalesce(F.try_element_at("seen", F.col("tx_risk_score")), F.lit(0))
     color = F.when(F.col("count") == 0, F.lit(EMPTY_CELL_COLOR))
+    axis = F.explode(F.sequence("lo", "hi")).alias("tx_risk_score")
     return (
-        by_type.select("alert_type", "seen", F.explode(F.sequence("lo", "hi")).alias("tx_risk_score"))
+        by_type.select("alert_type", "seen", axis)
         .select("alert_type", "tx_risk_score", counted.alias("count"))
         .withColumn("count_for_color", color.otherwise(F.col("count").cast("double")))
         .orderBy("alert_type", "tx_risk_score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import tempfile
 import uuid
@@ -52,6 +53,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="txmon-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/txmon/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+        root = _local_root()
+    run = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/txmon/{run}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="txmon-")

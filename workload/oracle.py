@@ -276,7 +276,7 @@ def truth_sql(value: str) -> str:
 
 SILVER = f"""
 silver AS (
-  SELECT r.transaction_id, account_id, a.amount_num, r.amount_num_invalid AS dq_amount_invalid,
+  SELECT r.transaction_id, account_id,
          booking_truth AS booking_ts_ts, acct_created_truth AS acct_created_ts_ts,
          upper(trim(direction)) AS direction, upper(trim(transaction_type)) AS transaction_type,
          originator_party_id, acct_status, upper(trim(status)) AS status,
@@ -288,7 +288,7 @@ silver AS (
          screening_events_json, geo_events_json, orig_home_jurisdiction_id,
          ben_home_jurisdiction_id, orig_kyc_level,
          CAST(a.amount_num * coalesce(f.usd_rate, 1.0::DOUBLE) AS DECIMAL(18,2)) AS amount_usd
-  FROM (SELECT *, NULL AS amount_num_invalid FROM raw) r
+  FROM raw r
   JOIN amounts a ON a.transaction_id = r.transaction_id
   LEFT JOIN rates f ON f.currency_code = upper(trim(r.currency_code))
 )"""

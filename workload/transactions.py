@@ -172,7 +172,9 @@ def raw_transactions(
         "direction": F.when(event % 2 == 0, F.lower("direction")).otherwise(F.col("direction")),
         "transaction_type": F.concat(F.col("transaction_type"), F.lit(" ")),
         "originator_party_id": F.col("originator_party_id"),
-        "counterparty_party_id": _pick((" UNKNOWN ", "Unknown", "N/A", " x ", "na", "NA"), event % 6),
+        "counterparty_party_id": _pick(
+            (" UNKNOWN ", "Unknown", "N/A", " x ", "na", "NA"), event % 6
+        ),
         "channel": F.initcap("channel"),
         "status": F.lower("status"),
         "source_system": _pick(("core", " swift", "NULL"), event % 3),
