@@ -161,7 +161,8 @@ def ts_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ts_parse_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "raw-times")
     raw = raw_transactions(spark, sf_dir, ["transaction_id", *TIMESTAMP_COLUMNS])
-    raw.write.parquet(path)
+    # The test tables are single files; several written ones let the parse use all cores.
+    raw.write.option("maxRecordsPerFile", 20_000).parquet(path)
     return clean.parse_timestamps(spark.read.parquet(path)).select(
         "transaction_id", *(f"{c}_ts" for c in TIMESTAMP_COLUMNS), "dq_booking_ts_unparsed"
     )
