@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from txmon.operators.rules import FLAGS, RULES
 
+# --- fixed values: report columns and the shade of an empty cell ---
 _TOP_COLUMNS = (
     "transaction_id", "account_id", "amount_usd", "booking_ts_ts", "risk_score_simple",
     "flag_structuring", "flag_smurfing", "flag_placement", "flag_layering_pass_through",
