@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from txmon.llm import exact_dedup, sharding
+from txmon.llm import exact_dedup, quality, sharding
 
 
 def queries() -> dict:
     return {
         "op6_bounded_ring": sharding.op6_bounded_ring,
+        "op7_line_first": quality.op7_line_first,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": exact_dedup.OP8_SQL}
+    return {
+        "op7_line_first": quality.OP7_SQL,
+        "op8_exact_dedup": exact_dedup.OP8_SQL,
+    }
