@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txmon.llm import exact_dedup, quality, sharding
+from txmon.llm import bpe, exact_dedup, packing, quality, sharding
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op6_bounded_ring": sharding.op6_bounded_ring,
         "op7_line_first": quality.op7_line_first,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op9_byte_bpe": bpe.op9_byte_bpe,
+        "op10_power_of_two": packing.op10_power_of_two,
     }
 
 
