@@ -45,22 +45,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def only_ids(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` occurs in ``key`` of ``ids``, moving few others.
+def may_be_in(ids: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test for ids that lets all of ``key`` pass and few others.
 
-    A bitmap of fixed size drops most rows without a partner before the semi join that
-    decides. With many ids it lets more rows pass to that join, never fewer.
+    It is a bitmap of fixed size; with very many ids more others pass, never fewer ids.
     """
-    slot = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(_FILTER_BITS))
+    slot = lambda column: F.pmod(F.xxhash64(column.cast("long")), F.lit(_FILTER_BITS))
     words = (
-        ids.select(slot.alias("slot"))
+        ids.select(slot(F.col(key)).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
         .toArrow()
     )
     bitmap = np.zeros(_FILTER_BITS >> 6, dtype=np.uint64)
-    at = words["word"].to_numpy()
-    bitmap[at] = words["bits"].to_numpy().view(np.uint64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     octets = bitmap.view(np.uint8)
 
     @F.pandas_udf("boolean")
@@ -68,8 +66,12 @@ def only_ids(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
         s = slots.to_numpy()
         return pd.Series((octets[s >> 3] >> (s & 7)) & 1 == 1)
 
+    return lambda column: possible(slot(column))
+
+
+def only_ids(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` occurs in ``key`` of ``ids``, moving few others."""
     wanted = ids.select(F.col(key).alias("__wanted")).distinct()
-    probe = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(_FILTER_BITS))
-    return df.filter(possible(probe)).join(
+    return df.filter(may_be_in(ids, key)(F.col(column))).join(
         wanted, F.col(column).eqNullSafe(F.col("__wanted")), "left_semi"
     )

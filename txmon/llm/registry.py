@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from txmon.llm import bpe, exact_dedup, packing, quality, sharding
+from txmon.llm import bpe, exact_dedup, packing, quality, sentence_spans, sharding
 
 
 def queries() -> dict:
     return {
+        "op4_sentence_spans": sentence_spans.op4_sentence_spans,
         "op6_bounded_ring": sharding.op6_bounded_ring,
         "op7_line_first": quality.op7_line_first,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
@@ -17,6 +18,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_sentence_spans": sentence_spans.OP4_SQL,
         "op7_line_first": quality.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
     }
