@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from txmon.llm import bpe, exact_dedup, packing, quality, sentence_spans, sharding
+from txmon.llm import bpe, exact_dedup, packing, quality, sentence_spans, sharding, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc_derivatives": warc.op1_warc_derivatives,
         "op4_sentence_spans": sentence_spans.op4_sentence_spans,
         "op6_bounded_ring": sharding.op6_bounded_ring,
         "op7_line_first": quality.op7_line_first,
@@ -18,6 +19,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc_derivatives": warc.OP1_SQL,
         "op4_sentence_spans": sentence_spans.OP4_SQL,
         "op7_line_first": quality.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
