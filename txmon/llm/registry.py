@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from txmon.llm import bpe, exact_dedup, packing, pii, quality, sentence_spans, sharding, warc
+from txmon.llm import bpe, exact_dedup, jaccard, packing, pii, quality, sentence_spans, sharding, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc_derivatives": warc.op1_warc_derivatives,
         "op2_weak_supervision": pii.op2_weak_supervision,
+        "op3_heavy_light_join": jaccard.op3_heavy_light_join,
         "op4_sentence_spans": sentence_spans.op4_sentence_spans,
         "op6_bounded_ring": sharding.op6_bounded_ring,
         "op7_line_first": quality.op7_line_first,
