@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -19,6 +23,26 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _FILTER_BITS = 1 << 24
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to Python workers that would not find it by themselves.
+
+    Where it is installed, on PYTHONPATH or in the working folder, there is nothing to do.
+    """
+    root = Path(__file__).resolve().parents[2]
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    context = spark.sparkContext
+    if any(p and Path(p).resolve() == root for p in known) or "site-packages" in root.parts:
+        return
+    if any("txmon-code" in f for f in context.listFiles):
+        return
+    # The driver serves the file from here as long as it runs.
+    path = Path(tempfile.mkdtemp(prefix="txmon-"), f"txmon-code-{context.applicationId}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.glob("txmon/**/*.py")):
+            archive.write(file, file.relative_to(root))
+    context.addPyFile(str(path))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

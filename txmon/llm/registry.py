@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from txmon.llm import bpe, exact_dedup, jaccard, packing, pii, quality, sentence_spans, sharding, warc
+from txmon.llm.common import ship_code
+
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict:
-    return {
+    found = {
         "op1_warc_derivatives": warc.op1_warc_derivatives,
         "op2_weak_supervision": pii.op2_weak_supervision,
         "op3_heavy_light_join": jaccard.op3_heavy_light_join,
@@ -17,6 +26,7 @@ def queries() -> dict:
         "op9_byte_bpe": bpe.op9_byte_bpe,
         "op10_power_of_two": packing.op10_power_of_two,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
