@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from txmon.llm import bpe, exact_dedup, jaccard, packing, pii, quality, sentence_spans, sharding, warc
+from txmon.llm import (
+    bpe,
+    exact_dedup,
+    jaccard,
+    packing,
+    pii,
+    quality,
+    sentence_spans,
+    sharding,
+    suffix_repeats,
+    warc,
+)
 from txmon.llm.common import ship_code
 
 
@@ -20,6 +31,7 @@ def queries() -> dict:
         "op2_weak_supervision": pii.op2_weak_supervision,
         "op3_heavy_light_join": jaccard.op3_heavy_light_join,
         "op4_sentence_spans": sentence_spans.op4_sentence_spans,
+        "op5_interval_tree": suffix_repeats.op5_interval_tree,
         "op6_bounded_ring": sharding.op6_bounded_ring,
         "op7_line_first": quality.op7_line_first,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
