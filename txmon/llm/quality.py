@@ -130,6 +130,7 @@ def line_first(
     rules: LineRules = LineRules(),
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per document its word counts, its cleaned text and whether it is kept.
 
@@ -138,12 +139,19 @@ def line_first(
     words are dropped silently, lines failing a rule are removed with their words. A document
     goes when the base fails (under 50 words, or over half of them in repeated 3-word windows)
     or when it lost more than ``max_lost_percent`` of its words. A NULL text has no words and
-    is not kept. Every row gives a row, repeated ones too; other columns are ignored.
+    is not kept. Every row gives a row, repeated ones too. Columns named in ``carry`` are passed
+    on after these, others are ignored.
     """
     blank = F.lit(WORD_SPACE)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counted = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select(
+    carried = {name: f"__carry_{name}" for name in carry}
+    counted = docs.select(
+        F.col(id_col).alias("doc_id"),
+        text.alias("text"),
+        *(F.col(name).alias(new) for name, new in carried.items()),
+    ).select(
         "doc_id",
+        *carried.values(),
         let(
             _words(F.col("text")),
             lambda words: F.struct(
@@ -180,8 +188,9 @@ def line_first(
         "lines.good", F.lit(0).cast("long"), lambda total, x: total + x["n"]
     )
     lost = (F.col("n_words") - F.col("kept_words")) * 100
-    return counted.select(
+    judged = counted.select(
         "doc_id",
+        *carried.values(),
         words.alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -193,6 +202,8 @@ def line_first(
     ).withColumn(
         "kept", ~F.col("base_failed") & (lost <= F.col("n_words") * rules.max_lost_percent)
     )
+    plain = [c for c in judged.columns if c not in carried.values()]
+    return judged.select(*plain, *(F.col(new).alias(name) for name, new in carried.items()))
 
 
 def op7_line_first(spark: SparkSession, sf_dir: str) -> DataFrame:
