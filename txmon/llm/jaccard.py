@@ -32,8 +32,8 @@ SHINGLE = 5
 # Similarity at least this many percent.
 PERCENT = 80
 # Text hashed at once, and shingles that a task sorts at once.
-_TEXT_CHUNK = 1 << 20
-_SORT_CHUNK = 1 << 21
+_TEXT_CHUNK = 1 << 19
+_SORT_CHUNK = 1 << 20
 _MANY = 0xFFFF
 # Counters of the sketch that orders shingles.
 _COUNTERS = 1 << 20
@@ -293,8 +293,10 @@ def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(_COUNTERS, dtype=np.uint32)
     for batch in batches:
-        for x in batch.column(2).to_pylist():
-            np.add.at(counts, _slot(np.frombuffer(x, dtype=_U)), 1)
+        for at in range(0, batch.num_rows, 1000):
+            rows = batch.column(2).slice(at, 1000).to_pylist()
+            hashes = np.frombuffer(b"".join(rows), dtype=_U)
+            counts += np.bincount(_slot(hashes), minlength=_COUNTERS).astype(np.uint32)
     task = TaskContext.get().partitionId()
     parts = [p.tobytes() for p in np.split(counts, _PARTS)]
     yield pa.RecordBatch.from_arrays(
@@ -347,7 +349,11 @@ def _ordered(hashes: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
 
 
 def _costs(counters: np.ndarray, rank: np.ndarray):
-    """Per size class: 2-subsets to enumerate, against entries of inverted lists to scan."""
+    """Per size class: 2-subsets to enumerate, against entries of inverted lists to scan.
+
+    A list is as long as its counter without the share that other shingles have on average.
+    """
+    lists = np.maximum(1, counters.astype(np.int64) - int(counters.mean()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         light: dict[int, int] = {}
@@ -359,7 +365,7 @@ def _costs(counters: np.ndarray, rank: np.ndarray):
                 length = n - _needed(n) + 1
                 kind = int(_size_class(n))
                 light[kind] = light.get(kind, 0) + length * (length + 1) // 2
-                scan = int(counters[_slot(_ordered(hashes, rank, length))].sum())
+                scan = int(lists[_slot(_ordered(hashes, rank, length))].sum())
                 heavy[kind] = heavy.get(kind, 0) + scan
         yield pa.RecordBatch.from_arrays(
             [
@@ -396,15 +402,17 @@ def _keys(rank: np.ndarray, boundary: int):
         for batch in batches:
             keys: list[np.ndarray] = []
             ids: list[int] = []
+            size = 0
             for doc_id, x in zip(
                 batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True
             ):
                 own = _document_keys(np.frombuffer(x, dtype=_U), rank, boundary)
                 keys.append(own)
                 ids.append(doc_id)
-                if sum(map(len, keys)) > 1 << 18:
+                size += len(own)
+                if size > 1 << 18:
                     yield _key_batch(keys, ids)
-                    keys, ids = [], []
+                    keys, ids, size = [], [], 0
             if ids:
                 yield _key_batch(keys, ids)
 
