@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {"layer_listing"}
@@ -37,11 +38,11 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(queries.queries()) - set(oracle.oracle_sql()) == ROWS_ONLY
+    assert set(oracle.oracle_sql()) <= set(queries.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_same_as_sql(spark, database, name):
     result = contract.queries()[name](spark, SF)
     expected = database.sql(contract.oracle_sql()[name])
