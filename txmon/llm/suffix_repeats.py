@@ -257,6 +257,7 @@ def _pack(buckets: int):
             ordered = [texts[i] for i in order]
             for i, text, (gram, place, first, many) in zip(order, ordered, anchors(ordered), strict=True):
                 own = np.frombuffer(numbers[i], dtype=np.uint32)
+                own = own[own < len(gram)]  # of another text, where texts share an id
                 for g, p, f, m in zip(
                     gram[own].tolist(), place[own].tolist(), first[own].tolist(),
                     many[own].tolist(), strict=True,
@@ -475,11 +476,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts earlier (in a smaller id, or earlier in the same document) is removed, judged on the
     input; ``n_spans`` counts maximal removed runs and ``kept`` is what is left, which may cut
     characters. Rows that repeat an id and text are one document and don't cover each other;
-    each gives a row. An id that is NULL counts as the smallest. Other columns are ignored.
+    each gives a row. Ids that are NULL count as the smallest, in an order of their texts'
+    hashes; other ids must be at least -2**62. Texts that differ should not share an id: they
+    are cut alike. Other columns are ignored.
     """
-    least = -(1 << 63)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    unnamed = F.lit(-(1 << 63)) + F.xxhash64(text).bitwiseAND((1 << 62) - 1)
     base = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id"),
+        F.coalesce(F.col(id_col).cast("long"), unnamed).alias("doc_id"),
         F.col(text_col).alias("text"),
     )
     text = F.coalesce("text", F.lit(""))
@@ -523,7 +527,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.lit(1).cast("long").alias("n_spans"),
         F.lit(b"").alias("kept"),
     )
-    return cut.unionByName(copied).withColumn("doc_id", F.nullif("doc_id", F.lit(least)))
+    return cut.unionByName(copied).withColumn(
+        "doc_id", F.when(F.col("doc_id") >= -(1 << 62), F.col("doc_id"))
+    )
 
 
 def op5_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
