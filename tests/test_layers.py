@@ -15,6 +15,15 @@ from workload.transactions import raw_transactions
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.mark.parametrize("other", ["b,a\n3,4\n", "a,b,c\n3,4,5\n", "a\n3\n"])
+@pytest.mark.parametrize("columns", [None, ["a", "b"]])
+def test_csv_headers_must_agree(spark, tmp_path, other, columns):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text(other)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_raw_csv(spark, str(tmp_path), columns).collect()
+
+
 def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,text,last\n1,"say ""hi"",\nyou",\n2, padded ,""\n3,short\n')
     rows = files.read_raw_csv(spark, str(tmp_path)).collect()

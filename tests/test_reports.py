@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from txmon.plans import reports
 
 ALERTS = "alert_type string, tx_risk_score int"
@@ -31,6 +33,21 @@ def test_pivot(spark):
     ]
 
 
+def test_alerts_without_a_score(spark):
+    alerts = spark.createDataFrame([("A", 1), ("B", None)], ALERTS)
+    cells = {tuple(r)[:3] for r in reports.alert_risk_grid(alerts).collect()}
+    assert cells == {("A", 1, 1), ("B", 1, 0)}
+    rows = [tuple(r) for r in reports.alert_risk_pivot(alerts, highest=1).collect()]
+    assert rows == [("A", 0, 1), ("B", 0, 0)]
+
+
+def test_pivot_loses_no_score(spark):
+    alerts = spark.createDataFrame([("A", 1), ("A", 30)], ALERTS)
+    with pytest.raises(Exception, match="score outside 0 to 27: 30"):
+        reports.alert_risk_pivot(alerts, highest=27).collect()
+    assert reports.alert_risk_pivot(alerts, highest=30).first()["30"] == 1
+
+
 def test_ties_are_ordered(spark):
     gold = spark.createDataFrame(
         [("T3", 1), ("T1", 1), ("T2", 9)], "transaction_id string, risk_score_simple int"

@@ -121,15 +121,17 @@ def alert_risk_grid(alerts: DataFrame) -> DataFrame:
     """Every alert type at every score from the lowest to the highest seen, zeros included.
 
     Works on the counts, of which there are at most types x scores (a few hundred): each
-    type's counts become a map that is read at every score of the axis.
+    type's counts become a map that is read at every score of the axis. Alerts without a
+    score are not counted, but their type is listed.
     """
     everything = Window.partitionBy()
     score = F.col("tx_risk_score")
+    entry = F.when(score.isNotNull(), F.struct("tx_risk_score", "count"))
     by_type = (
         alert_risk_counts(alerts)
         .withColumns({"lo": F.min(score).over(everything), "hi": F.max(score).over(everything)})
         .groupBy("alert_type", "lo", "hi")
-        .agg(F.map_from_entries(F.collect_list(F.struct("tx_risk_score", "count"))).alias("seen"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("seen"))
     )
     counted = F.coalesce(F.try_element_at("seen", F.col("tx_risk_score")), F.lit(0))
     color = F.when(F.col("count") == 0, F.lit(EMPTY_CELL_COLOR))
@@ -148,11 +150,16 @@ def alert_risk_pivot(
     """Alert types by score, one column per score from 0 to ``highest``, zeros included.
 
     The columns are named up front, by default up to the sum of all weights, so no query
-    has to look for them.
+    has to look for them. A score outside them fails the query instead of going uncounted.
+    Alerts without a score are not counted, but their type is listed.
     """
     scores = list(range(highest + 1))
+    score = F.col("tx_risk_score")
+    outside = F.raise_error(F.concat(F.lit(f"score outside 0 to {highest}: "), score))
+    known = F.when(score.isNull() | score.between(0, highest), score)
     return (
         alert_risk_counts(alerts)
+        .withColumn("tx_risk_score", known.otherwise(outside.cast("int")))
         .groupBy("alert_type")
         .pivot("tx_risk_score", scores)
         .agg(F.first("count"))

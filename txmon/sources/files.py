@@ -18,9 +18,13 @@ def read_raw_csv(
     """Read raw files as strings; malformed records are kept with missing fields NULL.
 
     A multi-line file cannot be split, so parallelism comes from landing many files.
-    Naming the header's ``columns`` saves the extra job that looks them up.
+    Naming the header's ``columns`` saves the extra job that looks them up. Columns are taken
+    by place, so a file with other names in its header, or in another order, fails the read;
+    read such files apart and put them together with ``unionByName``.
     """
-    reader = spark.read.options(**_DIALECT, multiLine=True, mode="PERMISSIVE")
+    reader = spark.read.options(
+        **_DIALECT, multiLine=True, mode="PERMISSIVE", enforceSchema=False
+    )
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
