@@ -11,7 +11,7 @@ from txmon.config import DELETED_COLUMNS, TIMESTAMP_COLUMNS
 TYPED = """
 typed AS (
   SELECT 'T' || e.event_id AS transaction_id,
-         'A' || (e.user_id % 20) AS account_id,
+         'A' || e.account AS account_id,
          e.ts AS booking_ts_ts,
          CAST(round(e.value * 400, 2) AS DECIMAL(18,2)) AS amount_usd,
          CASE WHEN e.event_type IN ('click','error') THEN 'DEBIT' ELSE 'CREDIT' END AS direction,
@@ -19,11 +19,11 @@ typed AS (
               WHEN 'error' THEN CASE WHEN e.event_id % 2 = 0 THEN 'ACH' ELSE 'SEPA' END
               WHEN 'purchase' THEN 'CARD' ELSE 'CASH' END AS transaction_type,
          'P' || (e.event_id % 97) AS originator_party_id,
-         CASE WHEN (e.user_id % 20) % 10 = 0 THEN 'DORMANT' ELSE 'ACTIVE' END AS acct_status,
+         CASE WHEN e.account % 10 = 0 THEN 'DORMANT' ELSE 'ACTIVE' END AS acct_status,
          CASE WHEN e.event_id % 4 = 0 THEN 'PENDING' ELSE 'POSTED' END AS status,
          CASE e.event_id % 3 WHEN 0 THEN 'SWIFT_MT' WHEN 1 THEN 'ISO20022_MX' END
            AS pm_message_standard,
-         CAST(DATE '2024-01-01' - CAST(3 * (e.user_id % 20) AS INTEGER) AS TIMESTAMP)
+         CAST(DATE '2024-01-01' - CAST(3 * e.account AS INTEGER) AS TIMESTAMP)
            AS acct_created_ts_ts,
          (e.event_id % 97) % 31 = 0 AS orig_pep_flag,
          (e.event_id % 97) % 41 = 0 AS orig_sanctions_flag,
@@ -41,9 +41,11 @@ typed AS (
               ELSE CASE WHEN c.c_custkey IS NOT NULL THEN 'STANDARD' END END AS orig_kyc_level,
          ['US','GB','DE','FR','IN','SG','RU','AE','IR','SY'][1 + s.s_nationkey % 10]
            AS ben_home_jurisdiction_id
-  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events) e
-  LEFT JOIN customer c ON c.c_custkey = e.event_id % 97
-  LEFT JOIN supplier s ON s.s_suppkey = e.event_id % 10
+  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+               CASE WHEN user_id % 5 = 0 THEN user_id ELSE user_id % 20 END AS account
+        FROM events) e
+  LEFT JOIN customer c ON c.c_custkey = e.event_id * 3 // 20
+  LEFT JOIN supplier s ON s.s_suppkey = e.event_id // 100
 )"""
 
 GOLD = """
