@@ -6,7 +6,19 @@ from, and so what a right parse must give.
 
 from __future__ import annotations
 
-from txmon.config import DELETED_COLUMNS, TIMESTAMP_COLUMNS
+# Spelled out, so that a column missing from the code under test is missed here.
+# --- fixed values ---
+DELETED_COLUMNS = (
+    "is_deleted", "acct_is_deleted", "pm_is_deleted", "orig_is_deleted_x", "orig_is_deleted_y",
+    "ben_is_deleted_x", "ben_is_deleted_y", "cp_is_deleted",
+)
+TIMESTAMP_COLUMNS = (
+    "booking_ts", "created_ts", "updated_ts", "record_effective_start_ts", "acct_created_ts",
+    "acct_updated_ts", "orig_created_ts_x", "orig_updated_ts_x", "orig_created_ts_y",
+    "orig_updated_ts_y", "ben_created_ts_x", "ben_updated_ts_x", "ben_created_ts_y",
+    "ben_updated_ts_y", "pm_created_ts", "pm_updated_ts", "orig_profile_ts", "ben_profile_ts",
+    "pm_record_effective_start_ts",
+)
 
 TYPED = """
 typed AS (
