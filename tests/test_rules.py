@@ -141,10 +141,10 @@ def test_alerts_and_reasons(spark):
 
 # Hits per rule, measured with independent SQL.
 HITS = {
-    "flag_structuring": 94, "flag_smurfing": 15, "flag_placement": 973,
-    "flag_layering_pass_through": 3995, "flag_layering_round": 161, "flag_sanctions_hit": 603,
-    "flag_screening_escalated": 496, "flag_pep": 634, "flag_high_value_cross_border": 47,
-    "flag_kyc_gap": 1166, "flag_dormant_account_activity": 734, "flag_high_risk_geo": 4852,
+    "flag_structuring": 80, "flag_smurfing": 15, "flag_placement": 744,
+    "flag_layering_pass_through": 3690, "flag_layering_round": 161, "flag_sanctions_hit": 603,
+    "flag_screening_escalated": 496, "flag_pep": 634, "flag_high_value_cross_border": 49,
+    "flag_kyc_gap": 1263, "flag_dormant_account_activity": 734, "flag_high_risk_geo": 5088,
     "flag_round_dollar": 387,
 }
 
@@ -160,7 +160,7 @@ def test_hits_on_the_test_tables(gold):
     totals = gold.agg(*(F.count_if(F.col(f)).alias(f) for f in FLAGS)).first().asDict()
     assert totals == HITS
     extremes = gold.agg(F.min("risk_score_simple"), F.max("risk_score_simple")).first()
-    assert tuple(extremes) == (0, 14)
+    assert tuple(extremes) == (0, 16)
     assert gold.agg(F.max("rapid_seq_txn_cnt")).first()[0] == 5
     assert to_alerts(gold).count() == sum(HITS.values())
 
