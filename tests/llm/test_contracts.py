@@ -8,8 +8,11 @@ from collections import Counter
 import llm_brute as brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from txmon.llm import bpe, common, jaccard, packing, pii, quality, registry, sentence_spans, sharding
@@ -136,6 +139,21 @@ def test_rows_without_ids_and_repeated_rows(spark, nulls):
     assert registry.queries()["op8_exact_dedup"](spark, nulls).count() >= distinct
 
 
+def test_near_copies_of_blank_texts(spark, tmp_path):
+    blank = {1: None, 2: "", 3: " \t\n", 4: None}
+    some = {5: "a b c d e f g", 6: "A b c d e  f g", 7: "h i j k l m", 8: None}
+    for files in ([blank], [blank, some]):
+        folder = tmp_path / str(len(files))
+        folder.mkdir()
+        for k, docs in enumerate(files):
+            columns = {"doc_id": pa.array(docs, pa.int64()), "text": pa.array(docs.values(), pa.string())}
+            pq.write_table(pa.table(columns), folder / f"{k}.parquet")
+        table = spark.read.parquet(str(folder))
+        assert table.select(F.spark_partition_id()).distinct().count() == len(files)
+        found = {r.doc_id: tuple(r)[1:] for r in jaccard.ngram_join(table).collect()}
+        assert found == brute.op3({i: t for docs in files for i, t in docs.items()})
+
+
 def test_byte_round_trip(spark, odd, odd_docs):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encode(common.documents(spark, odd), path, pattern)
