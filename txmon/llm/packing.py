@@ -36,7 +36,10 @@ _UNICODE_SPACE = re.compile(
 
 
 class WordTokens:
-    """Ids of whole texts, each distinct word going through the tokenizer once."""
+    """Ids of whole texts, each distinct word going through the tokenizer once.
+
+    The strings of special tokens in a text are ordinary text.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
