@@ -11,8 +11,12 @@ at the same offset. The suffixes that start at anchors are sorted, those of one
    suffixes, takes common-prefix lengths and scans them with a stack: an interval is a group
    of occurrences equal to the right up to its depth. The same is done to the left inside an
    interval, where occurrences differ in what comes before: each left-diverse group is a
-   maximal repeat with all its occurrences. All but the earliest are covered.
+   repeat, maximal within the contexts compared. All but the earliest are covered.
 4. Covered bytes are cut out of the documents that have any.
+
+Groups end at the edge of the anchors' contexts (at most 168 bytes), so a longer passage is
+several, and occurrences set aside before (step 1, equal contexts of a task) are not in them.
+They serve to find what is covered; only the covered spans are returned, and those are exact.
 """
 
 from __future__ import annotations
