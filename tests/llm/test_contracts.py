@@ -154,6 +154,15 @@ def test_near_copies_of_blank_texts(spark, tmp_path):
         assert found == brute.op3({i: t for docs in files for i, t in docs.items()})
 
 
+def test_near_copies_of_texts_that_share_an_id_or_have_none(spark):
+    a, b, c = ("".join(f"{x}{k} " for k in range(30)) for x in "abc")
+    docs = [(2, a), (2, b), (1, a + "end"), (9, b + "end"), (5, b), (None, b), (None, c), (None, c), (7, "x"), (2, "")]
+    found = jaccard.ngram_join(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = [(2, 26, 1, 1), (2, 26, 1, 3), (1, 27, 1, 1), (9, 27, 1, 3), (5, 26, 1, 3)]
+    want += [(None, 26, 1, 3), (None, 26, None, 1), (None, 26, None, 1), (7, 1, 7, 0), (2, 0, 1, 0)]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+
+
 def test_byte_round_trip(spark, odd, odd_docs):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encode(common.documents(spark, odd), path, pattern)

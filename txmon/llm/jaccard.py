@@ -147,7 +147,7 @@ _SENT = "bucket int, batch long, n_docs int, hashes binary, docs binary, ids bin
 def _send(buckets: int):
     bits = buckets.bit_length() - 1
 
-    def block(batch_id: int, ids: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
+    def block(batch_id: int, ids: list[int | None], sets: list[np.ndarray]) -> Iterator[tuple]:
         """Hashes by bucket, each once. What a block has twice is known to be shared."""
         sizes = np.array([len(s) for s in sets], dtype=np.int32)
         every = np.concatenate(sets)
@@ -165,7 +165,9 @@ def _send(buckets: int):
         docs = np.where(alone, owner, np.uint16(_MANY))[new]
         cuts = np.searchsorted(hashes, np.arange(buckets + 1, dtype=_U) << _U(32))
         low = (hashes & _U(0xFFFFFFFF)).astype(np.uint32)
-        info = (np.array(ids, dtype=np.int64).tobytes(), np.stack([sizes, shared]).tobytes())
+        unnamed = np.array([i is None for i in ids], dtype=np.int32)
+        names = np.array([i or 0 for i in ids], dtype=np.int64)
+        info = (names.tobytes(), np.stack([sizes, shared, unnamed]).tobytes())
         for p in range(buckets):
             lo, hi = cuts[p], cuts[p + 1]
             own = info if p == batch_id % buckets else (None, None)
@@ -173,7 +175,7 @@ def _send(buckets: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        ids: list[int] = []
+        ids: list[int | None] = []
         sets: list[np.ndarray] = []
         size = 0
         schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("n_docs", pa.int32())]
@@ -236,8 +238,9 @@ def _total(table: pa.Table) -> pa.Table:
     n = table["n_docs"][0].as_py()
     rows = table["ids"].to_pylist()
     at = next(i for i, x in enumerate(rows) if x is not None)
-    ids = np.frombuffer(rows[at], dtype=np.int64)
-    sizes, shared = np.frombuffer(table["sizes"][at].as_py(), dtype=np.int32).reshape(2, n)
+    numbers = np.frombuffer(table["sizes"][at].as_py(), dtype=np.int32).reshape(3, n)
+    sizes, shared, unnamed = numbers
+    ids = pa.array(np.frombuffer(rows[at], dtype=np.int64), mask=unnamed == 1)
     shared = shared.astype(np.int64)
     for counts in table["counts"].to_pylist():
         shared = shared + np.frombuffer(counts, dtype=np.uint8 if len(counts) == n else np.int32)
@@ -263,27 +266,44 @@ def shared_shingles(base: DataFrame) -> DataFrame:
 # --- 2. representatives of equal sets ---
 
 
+_DIGESTS = "doc_id long, own binary, n_shingles long, digest binary"
+_SETS = "doc_id long, digest binary, n long, hashes binary"
+
+
+def _digest(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row the text's digest, and the size and the digest of its set."""
     for batch in batches:
-        keys = [
-            hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            for s in shingle_sets(_texts(batch, 1))
-        ]
+        texts = _texts(batch, 1)
+        sets = [(len(s), _digest(s)) for s in shingle_sets(texts)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.binary())], names=["doc_id", "digest"]
+            [
+                batch.column(0),
+                pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+                pa.array([n for n, _ in sets], pa.int64()),
+                pa.array([d for _, d in sets], pa.binary()),
+            ],
+            names=["doc_id", "own", "n_shingles", "digest"],
         )
 
 
 def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets with their digests, rows of a batch that repeat an id and a set once."""
     for batch in batches:
-        sets = list(shingle_sets(_texts(batch, 1)))
+        found = {}
+        for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(_texts(batch, 1)), strict=True):
+            found.setdefault((doc_id, _digest(own)), own)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([i for i, _ in found], pa.int64()),
+                pa.array([d for _, d in found], pa.binary()),
+                pa.array([len(x) for x in found.values()], pa.int64()),
+                pa.array([x.tobytes() for x in found.values()], pa.binary()),
             ],
-            names=["doc_id", "n", "hashes"],
+            names=["doc_id", "digest", "n", "hashes"],
         )
 
 
@@ -541,36 +561,38 @@ def _groups(keys: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)`` for every document.
+def _linked(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sizes of all rows' sets with ``likely``, and the links of the rows of likely ids.
 
-    Words lie between white space (space, 0x09 to 0x0D), A-Z lower-cased; a document's set has
-    its distinct 5-word shingles, or the whole sequence where there are fewer words. Documents
-    are linked when the sets' similarity is 80 % or more. ``component_id`` is the smallest id
-    reachable by links, ``n_links`` the number of other documents linked directly. A text that
-    is NULL or has no words has an empty set and no links. Rows that repeat an id are linked
-    by their own texts and share the component; a NULL id is not supported as a name and gets
-    a NULL component. Other columns are ignored; no rows give no rows.
+    The second is ``(doc_id, own, n_shingles, rep, root, n_links)`` by row: ``own`` is the text's
+    digest, ``root`` a number of the component, ``rep`` the smallest id with an equal set. Sets are
+    numbered by themselves, so texts that share an id or have none are linked by their own.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    named = base.filter("doc_id IS NOT NULL")
-    stats = store(shared_shingles(named), "join-stats")
-    likely = stats.filter(f"n_shingles > 0 AND 100 * shared >= {PERCENT} * n_shingles")
-    chosen = store(
-        only_ids(named, "doc_id", likely, "doc_id").mapInArrow(
-            _digests, "doc_id long, digest binary"
+    stats = store(
+        shared_shingles(base).withColumn(
+            "likely", F.expr(f"n_shingles > 0 AND 100 * shared >= {PERCENT} * n_shingles")
         ),
+        "join-stats",
+    )
+    chosen = store(
+        only_ids(base, "doc_id", stats.filter("likely"), "doc_id").mapInArrow(_digests, _DIGESTS),
         "join-digests",
     )
-    classes = chosen.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies")
+    classes = store(
+        chosen.filter("n_shingles > 0")
+        .groupBy("digest")
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "join-classes",
     )
-    members = store(attach(chosen, classes, ["digest"]).select("doc_id", "rep", "copies"), "join-members")
-    reps = members.filter("doc_id = rep").select("doc_id", "copies").dropDuplicates(["doc_id"])
+    named = classes.select(F.col("digest").alias("__digest"), "rep", "node")
     sets = store(
-        only_ids(named, "doc_id", reps, "doc_id")
-        .dropDuplicates(["doc_id"])
-        .mapInArrow(_set_rows, "doc_id long, n long, hashes binary"),
+        only_ids(base, "doc_id", classes, "rep")
+        .mapInArrow(_set_rows, _SETS)
+        .join(named, F.col("digest") == F.col("__digest"))
+        .filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+        .dropDuplicates(["digest"])
+        .select(F.col("node").alias("doc_id"), "n", "hashes"),
         "join-sets",
     )
 
@@ -581,40 +603,85 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = _groups(keys, sets)
     rows = (
         groups.join(sets, F.col("__id") == F.col("doc_id"))
-        .join(reps.withColumnRenamed("doc_id", "__rep"), F.col("doc_id") == F.col("__rep"))
+        .join(classes.select(F.col("node").alias("__node"), "copies"), F.col("doc_id") == F.col("__node"))
         .select("place", "i", "j", "side", "doc_id", "copies", "hashes")
     )
     found = store(rows.groupBy("place", "i", "j").applyInArrow(_verify, _FOUND), "join-found")
 
     roots = components(found.filter("v IS NOT NULL").select("u", "v"))
     links = found.filter("v IS NULL").groupBy("u").agg(F.sum("n_links").alias("n_links"))
-    of_rep = attach(
-        attach(members, roots.withColumnRenamed("node", "rep"), ["rep"]),
-        links.withColumnRenamed("u", "rep"),
-        ["rep"],
+    tied = attach(
+        attach(classes, roots, ["node"]), links.withColumnRenamed("u", "node"), ["node"]
     ).select(
-        "doc_id",
-        F.coalesce("root", "rep").alias("root"),
+        "digest",
+        "rep",
+        F.coalesce("root", "node").alias("root"),
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    by_id = of_rep.groupBy("doc_id").agg(F.min("root").alias("root"), F.max("n_links").alias("n_links"))
-    done = attach(stats, by_id, ["doc_id"]).select(
+    members = attach(chosen, tied, ["digest"]).drop("digest")
+    return stats, store(members, "join-members")
+
+
+def _by_ids(members: DataFrame) -> DataFrame:
+    """``(root, top)`` of roots that are tied by an id of several texts."""
+    held = members.filter("doc_id IS NOT NULL AND root IS NOT NULL")
+    least = held.groupBy("doc_id").agg(F.min("root").alias("v"), F.max("root").alias("__most"))
+    edges = store(
+        attach(held, least.filter("v < __most"), ["doc_id"])
+        .filter("v < root")
+        .select(F.col("root").alias("u"), "v")
+        .distinct(),
+        "join-ids",
+    )
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("root"), F.col("v").alias("top"))
+    return components(edges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+
+
+def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, own, root)`` of rows that may be linked: rows with equal ``root`` are a component.
+
+    Components are those of texts, whatever their ids; ``own`` is the MD5 digest of the text.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _linked(base)[1].filter("root IS NOT NULL").select("doc_id", "own", "root")
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id, n_links)`` for every document.
+
+    Words lie between white space (space, 0x09 to 0x0D), A-Z lower-cased; a document's set has
+    its distinct 5-word shingles, or the whole sequence where there are fewer words. Documents
+    are linked when the sets' similarity is 80 % or more. ``component_id`` is the smallest id
+    reachable by links, ``n_links`` the number of other documents linked directly. A text that
+    is NULL or has no words has an empty set and no links. Rows that repeat an id are linked
+    by their own texts and share the component. A row with a NULL id is linked like others,
+    shares nothing with other such rows, and names no component: it has a NULL one if it
+    reaches no id. Other columns are ignored; no rows give no rows.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    stats, members = _linked(base)
+    tied = attach(members, _by_ids(members), ["root"]).withColumn("top", F.coalesce("top", "root"))
+    names = tied.filter("top IS NOT NULL").groupBy("top").agg(F.min("rep").alias("name"))
+    rows = attach(tied, names, ["top"])
+    by_id = rows.groupBy("doc_id").agg(F.min("name").alias("by_id"))
+    linked = attach(rows, by_id, ["doc_id"]).select(
         "doc_id",
         "n_shingles",
-        F.coalesce("root", "doc_id").alias("component_id"),
+        # A row without an id has only its own text's component.
+        F.when(F.col("doc_id").isNull(), F.col("name"))
+        .otherwise(F.coalesce("by_id", "doc_id"))
+        .alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
-    unnamed = base.filter("doc_id IS NULL").mapInArrow(
-        _set_rows, "doc_id long, n long, hashes binary"
-    )
-    return done.unionByName(
-        unnamed.select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.col("doc_id").alias("component_id"),
-            F.lit(0).cast("long").alias("n_links"),
-        )
+    likely = stats.filter("likely").select(F.col("doc_id").alias("__id")).distinct()
+    rest = stats.join(likely, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(
+        "doc_id",
+        "n_shingles",
+        F.col("doc_id").alias("component_id"),
+        F.lit(0).cast("long").alias("n_links"),
     )
+    return linked.unionByName(rest)
 
 
 def op3_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:
