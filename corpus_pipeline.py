@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txmon.llm import exact_dedup, jaccard, packing, pii, quality
 from txmon.llm.common import may_be_in, ship_code, store
+from txmon.operators.joins import attach
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,28 +31,56 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents whose id is not in ``gone``; few texts move."""
-    gone = store(gone.select(F.col("doc_id").alias("__id")).distinct(), "dropped")
+def _one_each(docs: DataFrame, rows: DataFrame, largest: bool) -> DataFrame:
+    """Of rows ``(doc_id, own, root)`` with equal ``root`` one, all other documents; few texts move.
+
+    Rows are told apart by id and text digest. The largest or smallest id stays, one that is
+    NULL only without a rival; of rows that repeat id and text one stays.
+    """
+    rows = store(rows, "linked-rows")
+    # A NULL id is last in the order.
+    order = F.struct(
+        (F.col("doc_id").isNotNull() if largest else F.col("doc_id").isNull()).alias("rank"),
+        "doc_id",
+        "own",
+    )
+    best = F.max(order) if largest else F.min(order)
+    groups = rows.groupBy("root").agg(best.alias("best"), F.count("*").alias("n")).filter("n > 1")
+    gone = store(
+        attach(rows, groups, ["root"])
+        .filter("best IS NOT NULL")
+        .select(
+            F.col("doc_id").alias("__id"),
+            F.col("own").alias("__own"),
+            (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("own") == F.col("best.own"))).alias("__stays"),
+        )
+        .distinct(),
+        "dropped",
+    )
     doubtful = may_be_in(gone, "__id")(F.col("doc_id"))
-    checked = docs.filter(doubtful).join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    return docs.filter(~doubtful | F.col("doc_id").isNull()).unionByName(
-        checked.filter("doc_id IS NOT NULL")
+    own = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    checked = docs.filter(doubtful).select(*COLUMNS, own.alias("__text"))
+    judged = checked.join(
+        gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__own")), "left"
+    )
+    return (
+        docs.filter(~doubtful)
+        .select(*COLUMNS)
+        .unionByName(judged.filter("__stays IS NULL").select(*COLUMNS))
+        .unionByName(judged.filter("__stays").dropDuplicates(["doc_id", "__text"]).select(*COLUMNS))
     )
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
     ship_code(spark)
-    return _without(docs, exact_dedup.exact_duplicates(docs).filter("NOT kept")).select(*COLUMNS)
+    return _one_each(docs, exact_dedup.equal_rows(docs), largest=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id."""
     ship_code(spark)
-    return _without(docs, jaccard.ngram_join(docs).filter("component_id <> doc_id")).select(
-        *COLUMNS
-    )
+    return _one_each(docs, jaccard.linked_rows(docs), largest=False)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,27 @@ def test_stages(spark, odd):
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_copies_go_by_row(spark, nulls):
+    docs = common.documents(spark, nulls)
+    texts = [r.text or "" for r in docs.collect()]
+    exact = common.store(corpus_pipeline.exact_copies(spark, docs, nulls), "stage")
+    kept = [(r.doc_id, r.text or "") for r in exact.collect()]
+    # Every text once, with the largest of its ids.
+    assert sorted(t.lower() for _, t in kept) == sorted({t.lower() for t in texts})
+    for doc_id, text in kept:
+        own = [r.doc_id for r in docs.collect() if (r.text or "").lower() == text.lower()]
+        assert doc_id == max((i for i in own if i is not None), default=None)
+    # Linked rows without ids go, too; texts that share an id are judged by themselves.
+    a, b = ("".join(f"{x}{k} " for k in range(30)) for x in "ab")
+    rows = [(2, a), (2, b), (5, a + "end"), (None, b + "end"), (None, "x y"), (2, a)]
+    table = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    near = corpus_pipeline.near_copies(spark, table, nulls).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in near) == [(0, "x y"), (2, a), (2, b)]
+
+
 def _masked(text, spans):
     out, at = "", 0
     for x in spans:

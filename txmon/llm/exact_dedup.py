@@ -22,20 +22,8 @@ def exact_duplicates(
     where a length and a prefix hash occur twice. Rows that repeat both id and text are one
     document and come back as one row. Other columns of ``docs`` are ignored.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    prefix = ascii_lower(F.substring("text", 1, PREFIX_CHARS))
-    narrow = store(
-        base.select(
-            "doc_id",
-            F.octet_length("text").alias("n_bytes"),
-            F.xxhash64(prefix).alias("prefix"),
-        ),
-        "exact-narrow",
-    )
-
-    suspects = _shared(_shared(narrow, ["n_bytes"]), ["n_bytes", "prefix"])
-    suspects = store(suspects.select("doc_id").distinct(), "exact-suspects")
+    base = _base(docs, id_col, text_col)
+    narrow, suspects = _suspects(base)
     hashed = store(
         only_ids(base, "doc_id", suspects, "doc_id")
         .select("doc_id", F.unhex(F.sha2(ascii_lower(F.col("text")), 256)).alias("full"))
@@ -55,6 +43,40 @@ def exact_duplicates(
     return decided.unionByName(alone).withColumn("kept", same)
 
 
+def equal_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, own, root)`` of every row whose text may be another's: equal texts share ``root``.
+
+    ``own`` is the MD5 digest of the text. Found as in :func:`exact_duplicates`, but by row.
+    """
+    base = _base(docs, id_col, text_col)
+    return only_ids(base, "doc_id", _suspects(base)[1], "doc_id").select(
+        "doc_id",
+        F.unhex(F.md5(F.col("text").cast("binary"))).alias("own"),
+        F.unhex(F.sha2(ascii_lower(F.col("text")), 256)).alias("root"),
+    )
+
+
+def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+
+
+def _suspects(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lengths and prefix hashes of all rows, and the ids where both occur twice."""
+    prefix = ascii_lower(F.substring("text", 1, PREFIX_CHARS))
+    narrow = store(
+        base.select(
+            "doc_id",
+            F.octet_length("text").alias("n_bytes"),
+            F.xxhash64(prefix).alias("prefix"),
+        ),
+        "exact-narrow",
+    )
+
+    suspects = _shared(_shared(narrow, ["n_bytes"]), ["n_bytes", "prefix"])
+    return narrow, store(suspects.select("doc_id").distinct(), "exact-suspects")
+
+
 def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose keys occur more than once."""
     often = rows.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1")
