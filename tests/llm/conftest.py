@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -10,7 +11,9 @@ SF = "/root/testdata/sf0.001"
 # Columns that the operators use inside, as further columns of the input.
 CLASHING = (
     "shard slot rank slice arc h g n first key digest prefix full spans found base positions u v "
-    "node root rep copies ids length text_sha256 keep_id words lines counts __id __n __carry_lang"
+    "node root rep copies ids length text_sha256 keep_id words lines counts __id __n __carry_lang "
+    "id1 id2 id3 a l r w1 f1 block codes tokens counts word f phrase score at region shard part copy "
+    "copies size source_size target number bucket begin finish position weight most taken pass"
 ).split()
 
 
@@ -57,6 +60,19 @@ def texts() -> list[str | None]:
     return out
 
 
+def vectors() -> pa.Table:
+    """Embeddings, some not usable, some repeated, and columns with clashing names."""
+    rng = np.random.default_rng(5)
+    good = rng.normal(size=(200, 9)) * np.linspace(0.05, 0.4, 9)
+    given = [list(map(float, v)) for v in good]
+    given += [None, [], [0.1] * 8, [None, *given[0][1:]], [float("nan"), *given[0][1:]]]
+    given += [[*given[0][:8], float("-inf")], [1e300, *given[0][1:]], given[3], given[3], [0.0] * 9]
+    ids = [None if k in (7, 9) else k // 2 for k in range(len(given))]
+    columns = {"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(given, pa.list_(pa.float64()))}
+    names = ("x", "n", "i", "j", "low", "width", "component", "deviation", "whitened", "at", "label")
+    return pa.table(columns | {name: pa.array([f"c{k}" for k in ids]) for name in names})
+
+
 def _write(path, rows: list[tuple[int | None, str | None]]) -> str:
     n = len(rows)
     columns = {
@@ -68,7 +84,8 @@ def _write(path, rows: list[tuple[int | None, str | None]]) -> str:
         **{name: pa.array([f"c{k}" for k in range(n)], pa.string()) for name in CLASHING},
     }
     path.mkdir()
-    pq.write_table(pa.table(columns), path / "documents.parquet")
+    pq.write_table(pa.table(dict(columns)), path / "documents.parquet")
+    pq.write_table(vectors() if rows else vectors().slice(0, 0), path / "embeddings.parquet")
     return str(path)
 
 

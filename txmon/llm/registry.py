@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from txmon.llm import (
     bpe,
+    collocations,
     exact_dedup,
     jaccard,
+    mixing,
     packing,
     pii,
     quality,
@@ -13,6 +15,7 @@ from txmon.llm import (
     sharding,
     suffix_repeats,
     warc,
+    whitening,
 )
 from txmon.llm.common import ship_code
 
@@ -37,6 +40,9 @@ def queries() -> dict:
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_byte_bpe": bpe.op9_byte_bpe,
         "op10_power_of_two": packing.op10_power_of_two,
+        "op11_mixed_precision": whitening.op11_mixed_precision,
+        "op12_fair_queue": mixing.op12_fair_queue,
+        "op13_quotient_filters": collocations.op13_quotient_filters,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
@@ -47,4 +53,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_sentence_spans": sentence_spans.OP4_SQL,
         "op7_line_first": quality.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
+        "op12_fair_queue": mixing.OP12_SQL,
+        "op13_quotient_filters": collocations.OP13_SQL,
     }
