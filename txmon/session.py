@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -24,25 +26,56 @@ PHYSICAL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_TARGET_REDUCER_BYTES = 256 * 1024 * 1024
+_REDUCER_BYTES = 4 << 30
+_SPLIT_BYTES = 128 << 20
+# A shuffle keeps a block for each pair of a map task and a reducer.
+_MOST_BLOCKS = 10**9
 
 
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Pin the runtime settings; with ``input_bytes``, also size the shuffles.
-
-    AQE only merges small reducers, it never adds any, so the starting number must
-    suit the input: about 256 MB of shuffled data per reducer, never below the
-    number already set.
-    """
+def configure(spark: SparkSession) -> SparkSession:
+    """Pin the runtime settings."""
     for key, value in {**SEMANTIC_SETTINGS, **PHYSICAL_SETTINGS}.items():
         spark.conf.set(key, value)
-    if input_bytes is not None:
-        wanted = math.ceil(input_bytes / _TARGET_REDUCER_BYTES)
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, wanted)))
     return spark
 
 
+def shuffle_sizes(input_bytes: int) -> tuple[int, int]:
+    """``(reducers, bytes of a map task's split)`` for an input of that size.
+
+    AQE only merges small reducers, it never adds any, so the starting number must suit the
+    input: some 4 GB each, which sort and spill. Splits grow where there would be more than a
+    billion pairs of map task and reducer.
+    """
+    reducers = max(1, math.ceil(input_bytes / _REDUCER_BYTES))
+    split = _SPLIT_BYTES
+    while math.ceil(input_bytes / split) * reducers > _MOST_BLOCKS:
+        split *= 2
+    return reducers, split
+
+
+@contextlib.contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffles sized for an input while the block runs; never below the settings before it."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    reducers, split = shuffle_sizes(input_bytes)
+    spark.conf.set(keys[0], str(max(int(before[keys[0]]), reducers)))
+    if split > _SPLIT_BYTES:
+        spark.conf.set(keys[1], str(split))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of the files below a path, as the file system knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for written intermediates, in the folder all executors share.
 
