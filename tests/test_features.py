@@ -109,6 +109,39 @@ def test_windows_against_brute_force(spark, lookback, radius):
     assert [r["rapid_seq_txn_cnt"] for r in rapid] == [near for _, near in want]
 
 
+@pytest.mark.parametrize(
+    ("lookback", "radius"), [(90 * 86400, 600), (86400, 30 * 86400), (400 * 86400, 0), (1, 8 * 86400)]
+)
+def test_long_ranges_against_brute_force(spark, lookback, radius):
+    rows = random_rows(lookback, 300)
+    rows += [(a, s + 40 * 86400 if s is not None else None, *more) for a, s, *more in rows]
+    df = table(spark, rows).repartition(5)
+    want = brute_force(rows, lookback, radius)
+    ranges = features._ranges(features._per_second(df), lookback, radius)
+    got = features._by_second(df, ranges).orderBy("id").collect()
+    assert [r["prev24h_credit_sum_usd"] for r in got] == [credit for credit, _ in want]
+    assert [r["rapid_seq_txn_cnt"] for r in got] == [near for _, near in want]
+
+
+@pytest.mark.parametrize(("lookback", "radius"), [(86400, 600), (7 * 86400, 86400), (1, 0)])
+def test_both_ways_agree(spark, lookback, radius):
+    sums = features._per_second(table(spark, random_rows(11, 400)))
+    found = [
+        sorted(map(str, way(sums, lookback, radius).collect()))
+        for way in (features._range_features, features._prefix_features)
+    ]
+    assert found[0] == found[1]
+
+
+def test_placed_rows_do_not_grow_with_the_range(spark):
+    sums = features._per_second(table(spark, random_rows(12, 400)))
+    seconds = sums.count()
+    placed = {
+        features._moves(sums, days * 86400, 600).count() for days in (30, 90, 3650)
+    }
+    assert len(placed) == 1 and placed.pop() <= 4 * seconds
+
+
 def test_windows_against_direct_range_frames(spark):
     """The same figures as Spark's own sliding frames over the raw rows."""
     df = table(spark, random_rows(99, 600)).withColumn("t", F.col("booking_ts_ts").cast("bigint"))

@@ -13,7 +13,6 @@ import __spark_entry__ as contract
 from workload import oracle, queries
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"layer_listing"}
 
 
 @pytest.fixture(scope="module")
@@ -38,8 +37,7 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries.queries()) - set(oracle.oracle_sql()) == ROWS_ONLY
-    assert set(oracle.oracle_sql()) <= set(queries.queries())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
@@ -51,10 +49,5 @@ def test_same_as_sql(spark, database, name):
     assert sorted_rows(result.columns, result.collect()) == want
 
 
-def test_layer_listing(spark):
-    rows = contract.queries()["layer_listing"](spark, SF).collect()
-    assert [tuple(r) for r in rows] == [("transactions_gold", False)]
-
-
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

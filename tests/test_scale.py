@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from txmon.operators import features, fx
 from txmon.operators.alerts import has_alert
 from txmon.plans import pipeline, reports
+from txmon.sources.rates import fx_rates
 from workload.queries import queries
-from workload.transactions import transactions
+from workload.transactions import quotes, transactions
 
 SF = "/root/testdata/sf0.001"
 WRITING = {"csv_roundtrip", "bronze_lineage", "write_read_back", "layer_listing", "layer_counts",
@@ -122,19 +123,31 @@ def test_hot_transaction_id_is_split(small_partitions, hot, shared):
     assert "SortMergeJoin(skew=true)" in plan(total)
 
 
-def test_hot_currency_is_split_beyond_the_broadcast_bound(small_partitions, hot, monkeypatch):
-    monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 100)
+def test_hot_currency_is_split_with_many_rates(small_partitions, hot):
     n = F.col("transaction_id").cast("int")
     code = F.when(n % 3 == 0, F.lit("USD")).otherwise(F.concat(F.lit("C"), n % 5000))
     tx = hot.withColumn("currency_code", code).withColumnRenamed("amount_usd", "amount_num")
     codes = tx.groupBy("currency_code").agg(F.lit(2.0).alias("usd_rate"))
-    converted = fx.convert_to_usd(tx, codes)
+    converted = fx.convert_to_usd(tx, codes, many_rates=True)
     total = converted.agg(F.count("*"), F.sum("dq_fx_missing"), F.sum(F.length("payload")))
     assert tuple(total.first())[:2] == (300_000, 0)
     total.collect()
     assert "SortMergeJoin(skew=true)" in plan(total)
 
 
+def test_conversion_plans_without_a_job_and_reads_the_quotes_once(spark):
+    tracker = spark.sparkContext.statusTracker()
+    tx = transactions(spark, SF).withColumnRenamed("amount_usd", "amount_num")
+    rates = fx_rates(quotes(spark, SF))
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        text = plan(fx.convert_to_usd(tx, rates))
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert text.count("events.parquet") == 2  # the transactions, the quotes
+
+
 def test_window_partitions_are_bounded(spark, hot):
     """No window partition has more rows than a block and its surroundings have seconds."""
     sums = features._per_second(hot)
@@ -153,6 +166,34 @@ def test_drilldown_reaches_the_scan(spark, tmp_path):
     assert "screening_events_json" not in scans(report, "ReadSchema")[0]
 
 
+def test_drilldown_reads_one_day_however_many_there_are(spark, tmp_path):
+    from txmon.sources import layers
+
+    gold = pipeline.gold(transactions(spark, SF))
+    layers.ensure_layers(spark, "day_", str(tmp_path))
+    read = []
+    for last in (dt.date(2024, 1, 8), None):
+        some = gold if last is None else gold.where(F.col("booking_date") <= F.lit(last))
+        table = layers.write_layer(
+            some, "gold", "g", "day_", partition_by=["booking_date"], cluster_by=["account_id"]
+        )
+        report = reports.account_day_drilldown(table, "A7", dt.date(2024, 1, 5))
+        (partitions,) = scans(report, "PartitionFilters")
+        assert "= 2024-01-05" in partitions
+        (pushed,) = scans(report, "PushedFilters")
+        assert "EqualTo(account_id,A7)" in pushed
+        day = table.where(F.col("booking_date") == F.lit(dt.date(2024, 1, 5)))
+        read.append(len(list(tmp_path.glob("day_gold/g/*/booking_date=2024-01-05/*.parquet"))))
+        rows = day.select("account_id").collect()
+        assert [r[0] for r in rows] == sorted(r[0] for r in rows)
+        report.collect()
+        assert report.count() == gold.where(
+            "account_id = 'A7' AND booking_date = DATE'2024-01-05'"
+        ).count()
+    # One file in the version of a few days, and one in that of all.
+    assert read == [1, 2]
+
+
 def test_near_threshold_filter_reaches_the_scan(spark, hot):
     (pushed,) = scans(features.near_threshold_daily(hot), "PushedFilters")
     for part in ("EqualTo(direction,CREDIT)", "EqualTo(transaction_type,CASH)", "amount_usd"):

@@ -1,4 +1,4 @@
-"""Left joins that hold up when one key has a large share of the rows."""
+"""Joins that hold up: with hot keys, and with small sides that are known to be small."""
 
 from __future__ import annotations
 
@@ -8,11 +8,21 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def at_most(df: DataFrame, max_rows: int, else_say: str) -> DataFrame:
+    """``df``, which fails when it is read if it has more rows; no job runs before that.
+
+    Never more than ``max_rows + 1`` rows come together in a task.
+    """
+    everything = Window.partitionBy()
+    names = df.columns
+    counted = df.limit(max_rows + 1).withColumn("__rows", F.count(F.lit(1)).over(everything))
+    fine = F.when(F.col("__rows") <= max_rows, True).otherwise(
+        F.raise_error(F.lit(f"more than {max_rows} rows: {else_say}")).cast("boolean")
+    )
+    return counted.where(fine).select(*names)
 
 
 def attach(

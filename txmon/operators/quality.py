@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmon.config import CORE_COLUMNS
@@ -25,6 +25,27 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def null_figures(columns: Sequence[str] = CORE_COLUMNS) -> list[Column]:
+    """Aggregates for ``observe``: rows, and NULLs per column as ``null_<column>``."""
+    nulls = (F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns)
+    return [F.count(F.lit(1)).alias("rows"), *nulls]
+
+
+def observed_counts(spark: SparkSession, observed: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """``layer, rows`` as counted while the layers were written."""
+    rows = [(layer, figures["rows"]) for layer, figures in observed.items()]
+    return spark.createDataFrame(rows, "layer string, rows long")
+
+
+def observed_nulls(
+    spark: SparkSession, figures: Mapping[str, int], columns: Sequence[str] = CORE_COLUMNS
+) -> DataFrame:
+    """What :func:`null_profile` returns, from figures observed while the layer was written."""
+    schema = ", ".join(f"`{c}` long" for c in columns)
+    row = tuple(figures[f"null_{c}"] if figures["rows"] else None for c in columns)
+    return spark.createDataFrame([row], schema)
+
+
 def _split(df: DataFrame, mark: str, label: str, when_set: str, otherwise: str) -> DataFrame:
     named = F.when(F.col(mark) == 1, F.lit(when_set)).otherwise(F.lit(otherwise))
     return df.groupBy(mark).count().withColumn(label, named)

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from txmon.config import DEFAULT_RULES_CONFIG, RuleConfig
-from txmon.operators import clean, features
+from txmon.operators import clean, features, quality
 from txmon.operators.alerts import to_alerts
 from txmon.operators.fx import convert_to_usd
 from txmon.operators.rules import FLAGS, apply_rules, with_risk_score
-from txmon.session import configure
-from txmon.sources.files import read_raw_csv, with_lineage
-from txmon.sources.layers import ensure_layers, write_layer
+from txmon.session import configure, sized_for, stored_bytes
+from txmon.sources.files import with_lineage
+from txmon.sources.layers import current_version, ensure_layers, write_layer
+from txmon.sources.split_csv import read_split_csv
 
 # --- fixed values: table names ---
 BRONZE_TABLE = "transactions_bronze"
@@ -64,6 +67,9 @@ class Layers:
     silver: DataFrame
     gold: DataFrame
     alerts: DataFrame
+    # What was counted while each layer was written: rows, NULLs of the core columns in bronze,
+    # how often each rule fired in gold.
+    observed: Mapping[str, Mapping[str, int]]
 
 
 def run(
@@ -73,17 +79,35 @@ def run(
     prefix: str = "",
     location: str | None = None,
     cfg: RuleConfig = DEFAULT_RULES_CONFIG,
-    input_bytes: int | None = None,
 ) -> Layers:
     """Raw files to alerts. Each layer is written once and the next reads it from storage.
 
-    ``input_bytes``, the size of the raw files, sizes the shuffles.
+    Shuffles are sized by the silver table as stored. Gold lies in a folder for each booking
+    date, sorted by account, so a day or an account of a day is read without the rest.
     """
-    configure(spark, input_bytes)
+    configure(spark)
     ensure_layers(spark, prefix, location)
-    raw = read_raw_csv(spark, raw_path)
-    b = write_layer(bronze(raw), "bronze", BRONZE_TABLE, prefix)
-    s = write_layer(silver(b, rates), "silver", SILVER_TABLE, prefix)
-    g = write_layer(gold(s, cfg), "gold", GOLD_TABLE, prefix)
-    a = write_layer(alerts(g), "gold", ALERTS_TABLE, prefix)
-    return Layers(b, s, g, a)
+    observed: dict[str, Mapping[str, int]] = {}
+
+    def write(df: DataFrame, layer: str, table: str, figures: list[Column], **layout) -> DataFrame:
+        seen = Observation(f"{prefix}{table}")
+        written = write_layer(df, layer, table, prefix, observe=(seen, figures), **layout)
+        observed["alerts" if table == ALERTS_TABLE else layer] = seen.get
+        return written
+
+    rows = F.count(F.lit(1)).alias("rows")
+    fired = [F.count_if(F.col(flag)).alias(flag) for flag in FLAGS]
+    raw = read_split_csv(spark, raw_path)
+    b = write(bronze(raw), "bronze", BRONZE_TABLE, quality.null_figures())
+    s = write(silver(b, rates), "silver", SILVER_TABLE, [rows])
+    with sized_for(spark, stored_bytes(spark, current_version(spark, "silver", SILVER_TABLE, prefix))):
+        g = write(
+            gold(s, cfg),
+            "gold",
+            GOLD_TABLE,
+            [rows, *fired],
+            partition_by=["booking_date"],
+            cluster_by=["account_id"],
+        )
+    a = write(alerts(g), "gold", ALERTS_TABLE, [rows])
+    return Layers(b, s, g, a, observed)

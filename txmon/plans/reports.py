@@ -36,13 +36,14 @@ def top_risk_transactions(
 def account_day_drilldown(gold: DataFrame, account_id: str, day: dt.date) -> DataFrame:
     """One account's transactions of one day, by id.
 
-    The day is a range on the stored event time, which reaches the Parquet scan.
+    Gold stored by day is read in that day's folder only; where it is stored otherwise, the
+    range of the event time reaches the Parquet scan.
     """
     start = F.lit(day).cast("timestamp")
     end = F.lit(day + dt.timedelta(days=1)).cast("timestamp")
     time = F.col("booking_ts_ts")
     chosen = (F.col("account_id") == account_id) & (time >= start) & (time < end)
-    return gold.where(chosen).select(*_DRILLDOWN_COLUMNS).orderBy("transaction_id")
+    return gold.where((F.col("booking_date") == F.lit(day)) & chosen).select(*_DRILLDOWN_COLUMNS).orderBy("transaction_id")
 
 
 def flag_totals(gold: DataFrame) -> DataFrame:
@@ -112,6 +113,54 @@ def amount_values(gold: DataFrame) -> DataFrame:
     )
 
 
+def amount_histogram(gold: DataFrame, per_decade: int = 10) -> DataFrame:
+    """``sign, bin, low, high, count``: amounts in bins of equal width on a logarithmic scale.
+
+    The number of rows depends on the range of amounts, not on how many there are. A bin goes
+    from ``low`` up to, not including, ``high`` in size; amounts of zero are bin NULL.
+    """
+    size = F.abs("amount_usd").cast("double")
+    # Rounded, so that powers of ten don't fall below their bin.
+    place = F.floor(F.round(F.log10(size) * per_decade, 9)).cast("int")
+    edge = lambda column: F.pow(F.lit(10.0), column / per_decade)
+    return (
+        gold.where(F.col("amount_usd").isNotNull())
+        .groupBy(
+            F.signum(F.col("amount_usd").cast("double")).cast("int").alias("sign"),
+            F.when(size > 0, place).alias("bin"),
+        )
+        .agg(F.count(F.lit(1)).alias("count"))
+        .select(
+            "sign", "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"), "count"
+        )
+    )
+
+
+def amount_sketches(gold: DataFrame, by: Sequence[str] = ("booking_date",), k: int = 800) -> DataFrame:
+    """``by`` and ``sketch``: a quantile sketch of the amounts of each group.
+
+    Sketches are a few kilobytes whatever their rows; those of any groups can be merged, so a
+    day's are made once. With ``k`` of 800 ranks are off by 0.4 % of the rows, rarely more.
+    """
+    amount = F.col("amount_usd").cast("double")
+    rows = gold.where(amount.isNotNull())
+    return rows.groupBy(*by).agg(F.kll_sketch_agg_double(amount, k).alias("sketch"))
+
+
+def amount_quantiles(
+    sketches: DataFrame, fractions: Sequence[float] = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+) -> DataFrame:
+    """``fraction, amount_usd, n`` over all given sketches, as of a range of days."""
+    # By a constant, so that nothing to merge gives no row.
+    everything = sketches.groupBy(F.lit(0).alias("everything"))
+    merged = everything.agg(F.kll_merge_agg_double("sketch").alias("all"))
+    at = F.array(*(F.lit(float(f)) for f in fractions))
+    return merged.select(
+        F.kll_sketch_get_n_double("all").alias("n"),
+        F.inline(F.arrays_zip(at.alias("fraction"), F.kll_sketch_get_quantile_double("all", at).alias("amount_usd"))),
+    ).select("fraction", "amount_usd", "n")
+
+
 def alert_risk_counts(alerts: DataFrame) -> DataFrame:
     score = F.col("tx_risk_score").cast("int").alias("tx_risk_score")
     return alerts.groupBy("alert_type", score).count()

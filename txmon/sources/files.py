@@ -17,10 +17,10 @@ def read_raw_csv(
 ) -> DataFrame:
     """Read raw files as strings; malformed records are kept with missing fields NULL.
 
-    A multi-line file cannot be split, so parallelism comes from landing many files.
-    Naming the header's ``columns`` saves the extra job that looks them up. Columns are taken
-    by place, so a file with other names in its header, or in another order, fails the read;
-    read such files apart and put them together with ``unionByName``.
+    A file is read by one task, and all must have the same header: columns are taken by
+    place, so a file with other names, or in another order, fails the read. Large files and
+    files with different headers are what ``split_csv.read_split_csv`` is for. Naming the
+    header's ``columns`` saves the extra job that looks them up.
     """
     reader = spark.read.options(
         **_DIALECT, multiLine=True, mode="PERMISSIVE", enforceSchema=False
@@ -45,6 +45,10 @@ def write_raw_csv(df: DataFrame, path: str, records_per_file: int = 100_000) ->
 
 def with_lineage(df: DataFrame) -> DataFrame:
     """Stamp each row with the time of ingestion and the file it came from."""
-    return df.withColumns(
-        {"_ingest_ts": F.current_timestamp(), "_source_file": F.col("_metadata.file_path")}
+    known = "_source_file" in df.columns
+    file = F.col("_source_file") if known else F.col("_metadata.file_path")
+    return df.select(
+        *(F.col(f"`{c}`") for c in df.columns if c != "_source_file"),
+        F.current_timestamp().alias("_ingest_ts"),
+        file.alias("_source_file"),
     )

@@ -382,6 +382,9 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'silver', count(*) FROM silver
             UNION ALL SELECT 'gold', count(*) FROM gold
             UNION ALL SELECT 'alerts', count(*) FROM alerts""",
+        "layer_listing": PIPELINE + """
+            SELECT 'transactions_gold' AS "tableName", count(*) AS rows FROM gold
+            UNION ALL SELECT 'tx_alerts_gold', count(*) FROM alerts""",
         "pipeline_alerts": PIPELINE + f"SELECT {_ALERT_COLUMNS} FROM alerts",
         "fx_rates": ctes(RATES) + "SELECT * FROM rates",
         "fx_needed_rates": ctes(TYPED, RATES) + """
@@ -490,6 +493,20 @@ def oracle_sql() -> dict[str, str]:
         "amount_values": TX_GOLD + """
             SELECT CAST(amount_usd AS DOUBLE) AS amount_usd FROM gold
             WHERE amount_usd IS NOT NULL""",
+        "amount_histogram": TX_GOLD + """
+            SELECT CAST(sign(amount_usd) AS INTEGER) AS sign,
+                   CASE WHEN amount_usd <> 0
+                     THEN CAST(floor(round(log10(abs(CAST(amount_usd AS DOUBLE))) * 10, 9)) AS INTEGER)
+                   END AS bin,
+                   count(*) AS count
+            FROM gold WHERE amount_usd IS NOT NULL GROUP BY ALL""",
+        "report_overview": TX_ALERTS + " UNION ALL ".join(
+            f"SELECT '{key}' AS report, CAST({key} AS VARCHAR) AS key, count(*) AS count "
+            f"FROM {table} GROUP BY ALL"
+            for table, key in (
+                ("gold", "transaction_type"), ("gold", "channel"), ("gold", "risk_score_simple"),
+                ("gold", "booking_date"), ("alerts", "alert_type"),
+            )),
         "alert_risk_grid": TX_ALERTS + grid,
         "alert_risk_pivot": TX_ALERTS + f"""
             SELECT alert_type, {cells} FROM ({per_cell}) GROUP BY alert_type""",

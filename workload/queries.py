@@ -18,8 +18,9 @@ from txmon.config import (
 from txmon.operators import clean, features, fx, quality, rules
 from txmon.operators.alerts import has_alert, to_alerts
 from txmon.plans import pipeline, reports
+from txmon.plans.overview import Overview
 from txmon.session import configure, scratch_dir
-from txmon.sources import files, layers, rates
+from txmon.sources import files, layers, rates, split_csv
 from workload.transactions import quotes, raw_transactions, transactions
 
 PARTY_FLAGS = ("orig_pep_flag", "orig_sanctions_flag", "ben_pep_flag", "ben_sanctions_flag")
@@ -31,15 +32,30 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.gold(transactions(spark, sf_dir))
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def _stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold written once, for what reads it more than once."""
-    path = scratch_dir(spark, "gold")
-    _gold(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    """Gold as a run stores it, by day and account; written once a session and reread."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        root = scratch_dir(spark, "gold")
+        prefix = "stored_" + root.rsplit("-", 1)[-1] + "_"
+        layers.ensure_layers(spark, prefix, root)
+        layers.write_layer(
+            _gold(spark, sf_dir),
+            "gold",
+            pipeline.GOLD_TABLE,
+            prefix,
+            partition_by=["booking_date"],
+            cluster_by=["account_id"],
+        )
+        _stored[key] = prefix
+    return layers.read_layer(spark, "gold", pipeline.GOLD_TABLE, _stored[key])
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_alerts(_gold(spark, sf_dir))
+    return to_alerts(_stored_gold(spark, sf_dir))
 
 
 def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,22 +68,30 @@ def _raw_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _run(spark: SparkSession, sf_dir: str) -> pipeline.Layers:
+def _run(spark: SparkSession, sf_dir: str) -> tuple[str, pipeline.Layers]:
+    """The prefix of the layers' schemas, and the layers."""
     root = scratch_dir(spark, "layers")
     prefix = "run_" + root.rsplit("-", 1)[-1] + "_"
     raw = _raw_file(spark, sf_dir)
-    return pipeline.run(spark, raw, _rates(spark, sf_dir), prefix, root)
+    return prefix, pipeline.run(spark, raw, _rates(spark, sf_dir), prefix, root)
 
 
 # --- sources, sinks, layers ---
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_raw_csv(spark, _raw_file(spark, sf_dir))
+    """Half of the records in files with the columns in reverse and one more."""
+    raw = raw_transactions(spark, sf_dir)
+    odd = F.substring("transaction_id", 2, 20).cast("long") % 2 == 1
+    folders = [scratch_dir(spark, "raw-csv"), scratch_dir(spark, "raw-csv-other")]
+    files.write_raw_csv(raw.where(~odd), folders[0], records_per_file=10_000)
+    other = raw.where(odd).select(*reversed(raw.columns), F.lit("x").alias("one_more"))
+    files.write_raw_csv(other, folders[1], records_per_file=10_000)
+    return split_csv.read_split_csv(spark, folders, raw.columns).drop("_source_file")
 
 
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = pipeline.bronze(files.read_raw_csv(spark, _raw_file(spark, sf_dir)))
+    bronze = pipeline.bronze(split_csv.read_split_csv(spark, _raw_file(spark, sf_dir)))
     return bronze.agg(
         F.count("*").alias("rows"),
         F.count("_ingest_ts").alias("stamped"),
@@ -86,22 +110,22 @@ def write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark, "layers")
-    prefix = "list_" + root.rsplit("-", 1)[-1] + "_"
-    layers.ensure_layers(spark, prefix, root)
-    layers.write_layer(_gold(spark, sf_dir), "gold", pipeline.GOLD_TABLE, prefix)
-    return layers.list_layer(spark, "gold", prefix).select("tableName", "isTemporary")
+    """The tables of the gold layer after a run, with their rows."""
+    prefix, _ = _run(spark, sf_dir)
+    listed = layers.list_layer(spark, "gold", prefix)
+    names = [r["tableName"] for r in listed.collect()]  # a handful of tables
+    tables = {name: layers.read_layer(spark, "gold", name, prefix) for name in names}
+    counts = quality.layer_counts(**tables).withColumnRenamed("layer", "tableName")
+    return listed.join(counts, "tableName").select("tableName", "rows")
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _run(spark, sf_dir)
-    return quality.layer_counts(
-        bronze=run.bronze, silver=run.silver, gold=run.gold, alerts=run.alerts
-    )
+    """Counted while the layers were written."""
+    return quality.observed_counts(spark, _run(spark, sf_dir)[1].observed)
 
 
 def pipeline_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir).alerts
+    return _run(spark, sf_dir)[1].alerts
 
 
 def fx_needed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,12 +182,20 @@ def ts_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed_booking(spark, sf_dir).drop("__norm_booking_ts")
 
 
+def _stored_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw texts of all timestamp columns, written once a session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} times")
+    if key not in _stored:
+        path = scratch_dir(spark, "raw-times")
+        raw = raw_transactions(spark, sf_dir, ["transaction_id", *TIMESTAMP_COLUMNS])
+        # The test tables are single files; several written ones let the parse use all cores.
+        raw.write.option("maxRecordsPerFile", 10_000).parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
 def ts_parse_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "raw-times")
-    raw = raw_transactions(spark, sf_dir, ["transaction_id", *TIMESTAMP_COLUMNS])
-    # The test tables are single files; several written ones let the parse use all cores.
-    raw.write.option("maxRecordsPerFile", 20_000).parquet(path)
-    return clean.parse_timestamps(spark.read.parquet(path)).select(
+    return clean.parse_timestamps(_stored_times(spark, sf_dir)).select(
         "transaction_id", *(f"{c}_ts" for c in TIMESTAMP_COLUMNS), "dq_booking_ts_unparsed"
     )
 
@@ -207,7 +239,7 @@ def rapid_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold_columns(*columns: str) -> Query:
-    return lambda spark, sf_dir: _gold(spark, sf_dir).select("transaction_id", *columns)
+    return lambda spark, sf_dir: _stored_gold(spark, sf_dir).select("transaction_id", *columns)
 
 
 def tx_has_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +248,7 @@ def tx_has_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _on_gold(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: report(_gold(spark, sf_dir))
+    return lambda spark, sf_dir: report(_stored_gold(spark, sf_dir))
 
 
 def _on_alerts(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -294,6 +326,10 @@ def queries() -> dict[str, Query]:
         "alert_risk_counts": _on_alerts(reports.alert_risk_counts),
         "top_accounts": _on_gold(reports.top_accounts),
         "amount_values": _on_gold(reports.amount_values),
+        "amount_histogram": _on_gold(
+            lambda gold: reports.amount_histogram(gold).select("sign", "bin", "count")
+        ),
+        "report_overview": _on_gold(lambda gold: Overview.of(gold).long()),
         "alert_risk_grid": _on_alerts(reports.alert_risk_grid),
         "alert_risk_pivot": _on_alerts(reports.alert_risk_pivot),
     }
