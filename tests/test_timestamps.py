@@ -6,7 +6,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from txmon.functions.timestamps import normalize_ts, parse_timestamp
+from txmon.functions.timestamps import (
+    SHAPES,
+    known_shape,
+    normalize_ts,
+    parse_shaped,
+    parse_timestamp,
+)
 from txmon.operators.clean import parse_timestamps
 
 # The layouts, in the order they are to be tried.
@@ -178,3 +184,30 @@ def test_same_as_trying_every_layout_in_order(spark):
     wrong = checked.where(~F.col("got").eqNullSafe(F.col("want")))
     assert [tuple(r) for r in wrong.take(20)] == []
     assert checked.where("got IS NOT NULL").count() > 2000
+
+
+def test_shapes_are_read_as_the_patterns_read_them(spark):
+    rng = random.Random(3)
+    texts = [
+        "".join(rng.choice("0001112234569") if c == "0" else c for c in shape)
+        for shape in SHAPES
+        for _ in range(400)
+    ]
+    # Years 0, 1 and 9999, days and hours out of range.
+    texts += [shape.replace("0", d) for shape in SHAPES for d in "0129"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string").select(
+        "raw", known_shape(F.col("raw")).alias("shape")
+    )
+    assert df.where("shape IS NULL").count() == 0
+    got = parse_shaped(F.col("raw"), F.col("shape")).cast("string")
+    want = parse_timestamp(F.col("raw")).cast("string")
+    checked = df.select("raw", got.alias("got"), want.alias("want"), normalize_ts(F.col("raw")).alias("norm"))
+    assert [tuple(r) for r in checked.where("NOT got <=> want OR norm <> raw").take(20)] == []
+    assert checked.where("got IS NOT NULL").count() > 500
+
+
+def test_other_texts_have_no_shape(spark):
+    others = ["", " 2026-01-01", "2026-01-01 ", "2026-1-01", "20260101 12", "1234", "2026-01-01T00:00:00",
+              "٢٠٢٦-01-01", None, "00:00", "2026-01-01 00:00:00.5", "26-01-2026 1:00"]
+    df = spark.createDataFrame([(t,) for t in others], "raw string")
+    assert df.select(known_shape(F.col("raw")).alias("s")).where("s IS NOT NULL").count() == 0

@@ -32,6 +32,7 @@ _MONTH_NAME_SPACED = r"^\p{L}+ \d{2} (?!0000)\d{4} \d{2}:\d{2}:\d{2}$"
 _MONTH_NAME_DASHED = r"^\p{L}+-\d{2}-(?!0000)\d{4} \d{2}:\d{2}:\d{2}$"
 _DAY_OF_YEAR = r"^((?!0000)\d{4}-\d{3})\s+(\d{2}:\d{2}:\d{2})(?s:.*)$"
 
+# --- fixed value: numbers a spreadsheet has written with an exponent ---
 _EXPONENT = r"^[0-9]+\.[0-9]+[eE]\+[0-9]+$"
 # Spark reads these as instants before year 1 or after year 9999.
 _FAR_YEAR = r"^[\s\p{Cntrl}]*(-|\+?([1-9]\d{4,5}|0[1-9]\d{4}|0{4,6})(?!\d))"
@@ -57,6 +58,54 @@ def plain_number(text: Column) -> Column:
     return F.when(text.rlike(_EXPONENT), number).when(text != "", text)
 
 
+# Shapes of the all-digit layouts and of Spark's own notation to the minute or second: what
+# a text is when every digit is written as 0.
+_DAYS_FIRST = tuple(f"00{sep}00{sep}0000" for sep in "-/")
+_YEAR_FIRST = tuple(f"0000{sep}00{sep}00" for sep in "-./")
+SHAPES = (
+    *(f"{day}{time}" for day in _DAYS_FIRST for time in ("", " 00:00:00")), "00-00-0000 00:00",
+    *(f"{day} 00:00:00" for day in _YEAR_FIRST), "0000-00-00 00:00", "0000/00/00 00:00",
+    "0000-00-00", "00000000", "00000000 0000", "00000000 000000",
+)
+
+
+def known_shape(raw: Column) -> Column:
+    """The shape of a text that is digits in a known layout, NULL of any other.
+
+    Such a text is its own normal form, and :func:`parse_shaped` reads it.
+    """
+    shape = F.translate(raw, "123456789", "000000000")
+    return F.when(shape.isin(*SHAPES), shape)
+
+
+def parse_shaped(raw: Column, shape: Column) -> Column:
+    """What :func:`parse_timestamp` makes of a text of this shape, without a pattern: the parts
+    are where the shape has them, and a cast reads them in ISO order.
+    """
+    part = lambda start, size=30: F.substring(raw, start, size)
+    third, fifth = F.substring(shape, 3, 1), F.substring(shape, 5, 1)
+    read = lambda *parts: F.concat(*parts).try_cast("timestamp")
+    dash = F.lit("-")
+    in_year = lambda year, instant: F.when(year != "0000", instant)
+    early, late = part(7, 4), part(1, 4)
+    time = F.when(
+        F.length(shape) > 8,
+        F.concat(
+            F.lit(" "), part(10, 2), F.lit(":"), part(12, 2),
+            F.when(F.length(shape) > 13, F.concat(F.lit(":"), part(14, 2))).otherwise(""),
+        ),
+    ).otherwise("")
+    month_first = read(early, dash, part(1, 2), dash, part(4, 2), part(11))
+    day_first = read(early, dash, part(4, 2), dash, part(1, 2), part(11))
+    return (
+        F.when(fifth == "-", in_year(late, raw.try_cast("timestamp")))
+        .when(third == "-", in_year(early, day_first))
+        .when(third == "/", in_year(early, F.coalesce(month_first, day_first)))
+        .when(fifth != "0", in_year(late, read(late, dash, part(6, 2), dash, part(9))))
+        .otherwise(in_year(late, read(late, dash, part(5, 2), dash, part(7, 2), time)))
+    )
+
+
 def parse_timestamp(raw: Column, normalized: Column | None = None) -> Column:
     """The raw text read in Spark's notation, which keeps its zone, else the normalised
     text in the first layout that fits, else NULL.

@@ -19,7 +19,13 @@ from txmon.config import (
     TIMESTAMP_COLUMNS,
 )
 from txmon.functions import text
-from txmon.functions.timestamps import parse_timestamp, plain_notation, plain_number
+from txmon.functions.timestamps import (
+    known_shape,
+    parse_shaped,
+    parse_timestamp,
+    plain_notation,
+    plain_number,
+)
 
 
 def _rewrite(df: DataFrame, columns: Iterable[str], rule: Callable[[Column], Column]) -> DataFrame:
@@ -66,14 +72,15 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS)
     """Add ``__norm_<c>`` and ``<c>_ts`` per column, and ``dq_booking_ts_unparsed``.
 
     The columns go through one array, so that the plan holds the long parsing expression
-    once and not once per column: as many copies exceed what the JVM compiles.
+    once and not once per column: as many copies exceed what the JVM compiles. Texts of digits
+    in a known layout are told by their shape; only others go through patterns.
 
     Write the result before filtering or joining on a ``*_ts`` column: Catalyst would
     otherwise copy the whole parse into every use of it.
     """
     present = [c for c in columns if c in df.columns]
     texts = F.array(*(F.col(c) for c in present))
-    for step in (_tidied, _numbered, _read):
+    for step in (_shaped, _tidied, _numbered, _read):
         texts = F.transform(texts, step)
     added = {}
     for position, c in enumerate(present):
@@ -86,13 +93,25 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS)
     return df
 
 
-def _tidied(raw: Column) -> Column:
-    return F.struct(raw.alias("raw"), plain_notation(raw).alias("text"))
+def _shaped(raw: Column) -> Column:
+    return F.struct(raw.alias("raw"), known_shape(raw).alias("shape"))
+
+
+def _tidied(t: Column) -> Column:
+    raw, shape = t["raw"], t["shape"]
+    text = F.when(shape.isNotNull(), raw).otherwise(plain_notation(raw))
+    return F.struct(raw.alias("raw"), shape.alias("shape"), text.alias("text"))
 
 
 def _numbered(t: Column) -> Column:
-    return F.struct(t["raw"].alias("raw"), plain_number(t["text"]).alias("norm"))
+    raw, shape = t["raw"], t["shape"]
+    norm = F.when(shape.isNotNull(), raw).otherwise(plain_number(t["text"]))
+    return F.struct(raw.alias("raw"), shape.alias("shape"), norm.alias("norm"))
 
 
 def _read(t: Column) -> Column:
-    return F.struct(t["norm"].alias("norm"), parse_timestamp(t["raw"], t["norm"]).alias("instant"))
+    raw, shape, norm = t["raw"], t["shape"], t["norm"]
+    instant = F.when(shape.isNotNull(), parse_shaped(raw, shape)).otherwise(
+        parse_timestamp(raw, norm)
+    )
+    return F.struct(norm.alias("norm"), instant.alias("instant"))
