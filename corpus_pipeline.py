@@ -20,7 +20,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the rules keep, without the lines that failed."""
+    """Documents the rules keep, without the lines that failed.
+
+    A NULL or empty text has too few words and goes. Repeated rows and rows without an id are
+    judged one by one. Other columns than those of ``documents`` are dropped; no rows give none.
+    """
     judged = quality.line_first(docs, carry=("lang", "source")).filter("kept")
     return judged.select(
         "doc_id",
@@ -72,19 +76,33 @@ def _one_each(docs: DataFrame, rows: DataFrame, largest: bool) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
+    """Of equal texts the document with the largest id.
+
+    A NULL text equals an empty one. Rows are judged by id and text: one of those that repeat
+    both stays, a text whose id another text has is judged by itself, and a row without an
+    id stays only if no equal text has one. No rows give none.
+    """
     ship_code(spark)
     return _one_each(docs, exact_dedup.equal_rows(docs), largest=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id."""
+    """Of linked documents the one with the smallest id.
+
+    Linked are texts, directly or through others; a NULL, empty or blank one is linked to
+    nothing, not even its like, and stays. Rows that repeat an id and a linked text become one;
+    rows without an id stay only if no linked text has one. No rows give none.
+    """
     ship_code(spark)
     return _one_each(docs, jaccard.linked_rows(docs), largest=False)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the kind in brackets in place of each personal span."""
+    """All documents, with the kind in brackets in place of each personal span.
+
+    A row stays a row, repeated ones and those without an id, too; a NULL text stays NULL. The
+    classifier is trained on the votes of all rows; without any span it is not needed.
+    """
     model = pii.train(store(pii.vote_counts(docs), "pii-votes"))
     clean = docs.select(
         "doc_id",
@@ -96,7 +114,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences: pieces of binary length with their ids."""
+    """Training sequences: pieces of binary length with their ids.
+
+    Every row is packed, repeated ones and those without an id, too; a NULL or empty text is
+    one piece with the end's id. No rows give no sequences.
+    """
     import public_tokenizers
 
     ship_code(spark)
