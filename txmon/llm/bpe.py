@@ -13,6 +13,8 @@ import base64
 import functools
 import hashlib
 import re
+import string
+import sys
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -27,8 +29,13 @@ from txmon.llm.common import documents
 # White space as Unicode defines it: what \s is in the pattern of the vocabulary.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _NONE = np.int64(1) << 40
-# Distinct chunks a worker remembers; forgetting costs time only.
+_ASCII_SPACE = "\t\n\x0b\x0c\r"
+_MARKS = frozenset(string.punctuation)
+# Distinct chunks a worker remembers, none of them long; forgetting costs time only.
 _MEMORY = 800_000
+_LONG = 256
+# Chunks of texts that are encoded together.
+_GROUP = 1 << 20
 
 
 class RankQueue:
@@ -85,6 +92,11 @@ class ByteBpe:
         # A space beside other white space, or first or last: no place to cut.
         self._loose = re.compile(f"[{_SPACE}] | [{_SPACE}]|\\A(?: |\\Z)| \\Z").search
         self._memory: dict[str, bytes] = {}
+        # Whether the pattern leaves words and marks as they are, which most do.
+        tries = [" ab", "ab", " ab,", "ab,", " ab'", "ab."]
+        self._words_stay = [self.split(t) for t in tries] == [
+            [" ab"], ["ab"], [" ab", ","], ["ab", ","], [" ab", "'"], ["ab", "."]
+        ]
 
     def _pairs(self, spell: list[bytes]) -> dict[int, int]:
         """Rank of every way to put a token together from two."""
@@ -109,16 +121,16 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self._pair_keys, keys), len(self._pair_keys) - 1)
         return np.where(self._pair_keys[at] == keys, self._pair_ranks[at], _NONE)
 
-    def encode_pieces(self, pieces: Sequence[bytes]) -> list[np.ndarray]:
-        """Ids of each pre-token."""
+    def encode_pieces(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Ids of each pre-token as 32-bit numbers."""
         whole = [self.ranks.get(p) for p in pieces]
         rest = [p for p, rank in zip(pieces, whole, strict=True) if rank is None]
         merged = iter(self._merge(rest)) if rest else iter(())
         return [
-            next(merged) if rank is None else np.array([rank], dtype=np.int32) for rank in whole
+            next(merged) if rank is None else rank.to_bytes(4, sys.byteorder) for rank in whole
         ]
 
-    def _merge(self, pieces: Sequence[bytes], careful: bool = False) -> list[np.ndarray]:
+    def _merge(self, pieces: Sequence[bytes], careful: bool = False) -> list[bytes]:
         """Merges pair after pair by rank; ``careful`` takes one place of a pre-token a step.
 
         The places of one rank can be merged together unless a merge makes a pair of lower
@@ -187,9 +199,9 @@ class ByteBpe:
                 queue.push_all(fresh[some], touched[some])
 
         kept = np.flatnonzero(alive[:n])
-        ids = token[kept].astype(np.int32)
-        ends = np.cumsum(np.bincount(owner[kept], minlength=len(pieces)))
-        out = np.split(ids, ends[:-1])
+        ids = token[kept].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner[kept], minlength=len(pieces)))).tolist()
+        out = [ids[lo:hi] for lo, hi in zip([0, *ends], ends)]  # noqa: B905
         if again.any():
             redo = np.flatnonzero(again).tolist()
             for i, x in zip(redo, self._merge([pieces[i] for i in redo], True), strict=True):
@@ -201,15 +213,36 @@ class ByteBpe:
         chunks = list(chunks)
         if not chunks:
             return
-        if len(self._memory) + len(chunks) > _MEMORY:
-            self._memory.clear()
-        split = [self.split(c) for c in chunks]
+        split = [self._pre_tokens(c) for c in chunks]
         pieces = list(dict.fromkeys(p for parts in split for p in parts))
         known = dict(
             zip(pieces, self.encode_pieces([p.encode() for p in pieces]), strict=True)
         )
         for chunk, parts in zip(chunks, split, strict=True):
-            self._memory[chunk] = b"".join(known[p].tobytes() for p in parts)
+            self._memory[chunk] = (
+                known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
+            )
+
+    def _pre_tokens(self, chunk: str) -> list[str]:
+        """The chunk split by the pattern; most are a word, or a word and a mark after it."""
+        if self._words_stay and chunk.isascii():
+            word = chunk[1:] if chunk[:1] == " " else chunk
+            if word.isalpha():
+                return [chunk]
+            if word[:-1].isalpha() and word[-1] in _MARKS:
+                return [chunk[:-1], word[-1]]
+        return self.split(chunk)
+
+    def _is_loose(self, text: str) -> bool:
+        """Whether a space is beside other white space, first or last."""
+        if not text.isascii():
+            return self._loose(text) is not None
+        return (
+            text[:1] == " "
+            or text[-1:] == " "
+            or "  " in text
+            or any(c in text and (c + " " in text or " " + c in text) for c in _ASCII_SPACE)
+        )
 
     def _chunks(self, text: str) -> list[str]:
         """The text in chunks that can be encoded one by one.
@@ -217,33 +250,36 @@ class ByteBpe:
         A space and the word after it belong together, so a text can be cut before single
         spaces; else its chunks are its pre-tokens.
         """
-        if self._loose(text):
+        if self._is_loose(text):
             return self.split(text)
         head, *words = text.split(" ")
         return [head, *[" " + w for w in words]]
 
     def encode_batch(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
-        """Ids of each text."""
-        missing: set[str] = set()
+        """Ids of each text; texts are looked at some at a time, long ones alone."""
+        group: list[list[str]] = []
+        size = 0
         for text in texts:
-            missing.update(self._chunks(text))
-            if len(missing) > _MEMORY:
-                missing.difference_update(self._memory)
-        missing.difference_update(self._memory)
-        room = len(self._memory) + len(missing) <= _MEMORY
-        if not room:
+            chunks = self._chunks(text)
+            group.append(chunks)
+            size += len(chunks)
+            if size >= _GROUP:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        yield from self._encode_group(group)
+
+    def _encode_group(self, group: list[list[str]]) -> Iterator[np.ndarray]:
+        missing = set().union(*group).difference(self._memory)
+        if len(self._memory) + len(missing) > _MEMORY:
             self._memory.clear()
-            if len(texts) > 1:
-                half = len(texts) // 2
-                yield from self.encode_batch(texts[:half])
-                yield from self.encode_batch(texts[half:])
-                return
-            for text in texts:
-                missing.update(self._chunks(text))
+            missing = set().union(*group)
         self._learn(missing)
-        for text in texts:
-            found = b"".join(map(self._memory.__getitem__, self._chunks(text)))
+        for chunks in group:
+            found = b"".join(map(self._memory.__getitem__, chunks))
             yield np.frombuffer(found, dtype=np.int32)
+        for chunk in missing:
+            if len(chunk) > _LONG:
+                del self._memory[chunk]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.spelling(ids)
