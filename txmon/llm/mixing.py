@@ -29,7 +29,7 @@ BUDGET_PERCENT = 150
 PASSES = 2
 
 # Rows of a bucket or slice, on average at most.
-_ROWS = 1 << 16
+_ROWS = 1 << 14
 _WORD = "[^ \\t-\\r]+"
 
 
