@@ -40,32 +40,37 @@ def _runs(units: Column, span: int) -> Column:
 def repeated_sentences(
     docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, positions)``: the sentences to remove, numbered from 0, of documents with any.
+    """``(doc_id, own, positions)``: the sentences to remove, from 0 on, of documents with any.
 
     A run of ``span`` consecutive sentences that occurs more than once, anywhere, stays where
     it is first (smallest id, then place); the sentences of its other occurrences go. Texts
     with fewer sentences, empty and NULL ones have no runs; rows with a NULL id count as the
-    smallest. Rows that repeat an id are taken as one document each, in an order of their own
-    texts only, so a repeated row loses the runs both have. Other columns are ignored.
+    smallest. A document is an id with a text, whose hash is ``own``: texts that share an id,
+    or have none, are told apart (in the order of ``own``), while rows that repeat both are one
+    document and lose nothing to each other. Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), _runs(sentences(text), span).alias("runs")
-    ).select("doc_id", F.posexplode("runs").alias("pos", "run"))
-    runs = found.select("doc_id", "pos", F.col("run.h").alias("h"), F.col("run.g").alias("g"))
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("own"),
+        _runs(sentences(text), span).alias("runs"),
+    ).select("doc_id", "own", F.posexplode("runs").alias("pos", "run"))
+    runs = found.select("doc_id", "own", "pos", F.col("run.h").alias("h"), F.col("run.g").alias("g"))
+    place = F.struct("doc_id", "own", "pos")
     firsts = (
         runs.groupBy("h", "g")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
         .filter("n > 1")
         .select("h", "g", "first")
     )
     later = attach(runs, firsts, ["h", "g"]).filter(
-        F.col("first").isNotNull() & ~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))
+        F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first"))
     )
-    covered = later.groupBy("doc_id").agg(F.collect_set("pos").alias("starts"))
+    covered = later.groupBy("doc_id", "own").agg(F.collect_set("pos").alias("starts"))
     reach = F.sequence(F.lit(0), F.lit(span - 1))
     positions = F.flatten(F.transform("starts", lambda p: F.transform(reach, lambda k: p + k)))
-    return covered.select("doc_id", F.sort_array(F.array_distinct(positions)).alias("positions"))
+    sorted_once = F.sort_array(F.array_distinct(positions))
+    return covered.select("doc_id", "own", sorted_once.alias("positions"))
 
 
 def _keep(units: Column, positions: Column) -> Column:
@@ -97,10 +102,11 @@ def remove_repeated_sentences(
     )
     found = store(repeated_sentences(base, span), "repeated-sentences")
     touched = may_be_in(found, "doc_id")(F.col("doc_id"))
-    removed = found.select(F.col("doc_id").alias("__id"), "positions")
+    removed = found.select(F.col("doc_id").alias("__id"), F.col("own").alias("__own"), "positions")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own"))
     cut = (
         base.filter(touched)
-        .join(removed, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+        .join(removed, same, "left")
         .select("doc_id", _cut(F.col("text"), F.col("positions")).alias("made"))
         .select("doc_id", "made.*")
     )
