@@ -33,13 +33,13 @@ _BASE = {
 # What a rarer writing of the same, or another kind, looks like.
 _OTHER = {
     SECRET: "(?:[Pp]assword|[Pp]asswd|[Ss]ecret|[Tt]oken|[Aa]pi[_-]?[Kk]ey)[\"']?[ ]?[=:][ ]?[\"']?"
-    "[A-Za-z0-9+/_-]{8,200}|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}"
-    "|sk-[A-Za-z0-9]{20,200})(?![A-Za-z0-9])",
+    "[A-Za-z0-9+/_-]{8,}+|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}"
+    "|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
     IBAN: "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     SSN: "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     PHONE: "(?<![0-9A-Za-z+(.-])\\(?[0-9]{3}\\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
-    EMAIL: "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[(\\[](?:at|AT)[)\\]] ?[A-Za-z0-9-]{1,63}"
-    "(?: ?[(\\[](?:dot|DOT)[)\\]] ?[A-Za-z0-9-]{1,63}){1,8}",
+    EMAIL: "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[(\\[](?:at|AT)[)\\]] ?[A-Za-z0-9-]++"
+    "(?: ?[(\\[](?:dot|DOT)[)\\]] ?[A-Za-z0-9-]++)++",
 }
 # What a text must have for a pattern to be worth a search.
 _HINT = {
