@@ -8,7 +8,7 @@
    key space an n-gram belongs to and its place there, the rest is the remainder. A region's
    filter holds the sorted remainders, a bitmap from which the quotients follow, and counters:
    nothing is lost, the words come back by the inverse permutation.
-3. Sorted filters of a region are merged across blocks. Regions hold about a million n-grams;
+3. Sorted filters of a region are merged across blocks. Regions hold about half a million n-grams;
    as the permutation spreads them, none is hot. A block that would fall into more regions
    than its filters are worth is merged with others first, in rounds.
 4. Frequent n-grams are scored with Spark joins.
@@ -35,9 +35,9 @@ COVER_PERCENT = 50
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
 
-_BLOCK_BYTES = 1 << 23
-# Most n-grams of a region, on average.
-_REGION = 1 << 20
+_BLOCK_BYTES = 1 << 22
+# Most n-grams of a region, on average: half a million.
+_REGION = 1 << 19
 # Bits that number the regions a single block is cut into, at most: finer, its filters would be
 # too small to be worth sending. A round merges so many shards and cuts as many times finer.
 _BLOCK_TOP = 10
