@@ -11,7 +11,7 @@ import functools
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,17 @@ _UNICODE_SPACE = re.compile(
 )
 
 
+class _Learned(dict):
+    """Values made when they are first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self._make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self._make(key)
+        return value
+
+
 class WordTokens:
     """Ids of whole texts, each distinct word going through the tokenizer once.
 
@@ -43,46 +54,53 @@ class WordTokens:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._normal = self._tokenizer.normalizer.normalize_str
-        # Words are normalised before they are split; the tokenizer must not do it again.
-        self._tokenizer.normalizer = None
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        tokenizer = Tokenizer.from_file(path)
+        self._normal = tokenizer.normalizer.normalize_str
+        # Pre-tokens go straight to the merges, spelt as the vocabulary spells bytes; those of
+        # visible ASCII are spelt as they are.
+        self._merge = tokenizer.model.tokenize
+        self._spelt = pre_tokenizers.ByteLevel(
+            add_prefix_space=False, use_regex=False
+        ).pre_tokenize_str
         self._split = regex.compile(_PRE_TOKEN).findall
-        self._memory: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._memory = _Learned(self._word_ids)
+        self._parts = _Learned(self._part_ids)
 
     def _words(self, text: str) -> list[str]:
         if _ODD_SPACE.search(text):
             return [w for w in _UNICODE_SPACE.split(text) if w]
         return text.split()
 
-    def _learn(self, words: Iterable[str]) -> None:
-        split = {
-            w: self._split(w.lower() if w.isascii() else self._normal(w)) for w in words
-        }
-        new = list(dict.fromkeys(p for parts in split.values() for p in parts))
-        new = [p for p in new if p not in self._parts]
-        encoded = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for part, e in zip(new, encoded, strict=True):
-            self._parts[part] = np.array(e.ids, dtype="<u4").tobytes()
-        for word, parts in split.items():
-            self._memory[word] = b"".join(map(self._parts.__getitem__, parts))
+    def _word_ids(self, word: str) -> bytes:
+        parts = self._pre_tokens(word)
+        if len(parts) == 1:
+            return self._parts[parts[0]]
+        return b"".join(map(self._parts.__getitem__, parts))
+
+    def _pre_tokens(self, word: str) -> list[str]:
+        if not word.isascii():
+            return self._split(self._normal(word))
+        # Most words are letters, or letters and a mark.
+        if word.isalpha():
+            return [word.lower()]
+        if word[:-1].isalpha() and word[-1].isprintable():
+            return [word[:-1].lower(), word[-1]]
+        return self._split(word.lower())
+
+    def _part_ids(self, part: str) -> bytes:
+        plain = part.isascii() and part.isprintable()
+        merged = self._merge(part if plain else self._spelt(part)[0][0])
+        return b"".join(t.id.to_bytes(4, "little") for t in merged)
 
     def encode_batch(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         for text in texts:
-            words = self._words(text)
-            missing = set(words).difference(self._memory)
-            if len(self._memory) + len(missing) > _MEMORY:
+            yield b"".join(map(self._memory.__getitem__, self._words(text)))
+            if len(self._memory) > _MEMORY:
                 self._memory.clear()
                 self._parts.clear()
-                missing = set(words)
-            if missing:
-                self._learn(missing)
-            yield b"".join(map(self._memory.__getitem__, words))
 
 
 @functools.cache
@@ -112,13 +130,15 @@ def power_of_two(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep_ids: bool = True,
 ) -> DataFrame:
     """``(doc_id, start, ids, length, ids_crc32, doc_tokens, bucket, sequence_id, offset)``.
 
     One row per piece; ``bucket`` is the binary logarithm of its length. ``sequence_id`` is
     unique and sorts by bucket: bucket, then task, then number within both. A document's ids
     end with ``end_id``, so an empty or NULL text is one piece of one id. Every row is packed,
-    repeated ones too; other columns are ignored. ``longest`` must be a power of two.
+    repeated ones too; other columns are ignored. ``longest`` must be a power of two. Without
+    ``keep_ids`` there is no column ``ids``: for an index of the pieces, or their checksums.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
@@ -137,7 +157,7 @@ def power_of_two(
                 ids = next(encoder.encode_batch([text])) + end
                 n = len(ids) // 4
                 for start, length in pieces(n, longest):
-                    own = ids[start * 4 : (start + length) * 4]
+                    own = memoryview(ids)[start * 4 : (start + length) * 4]
                     bucket = length.bit_length() - 1
                     sequence = bucket << 56 | task << 32 | numbered[bucket]
                     numbered[bucket] += 1
@@ -146,47 +166,47 @@ def power_of_two(
                     )
                     size += length
                 if size > 1 << 20:
-                    yield _piece_batch(rows)
+                    yield _piece_batch(rows, keep_ids)
                     rows, size = [], 0
             if rows:
-                yield _piece_batch(rows)
+                yield _piece_batch(rows, keep_ids)
 
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return kept.mapInArrow(
         run,
-        "doc_id long, start long, ids array<int>, length long, ids_crc32 long,"
-        " doc_tokens long, bucket int, sequence_id long, offset long",
+        f"doc_id long, start long,{' ids array<int>,' if keep_ids else ''} length long,"
+        " ids_crc32 long, doc_tokens long, bucket int, sequence_id long, offset long",
     )
 
 
-def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+def _piece_batch(rows: list[tuple], keep_ids: bool) -> pa.RecordBatch:
     doc_id, start, ids, length, crc, n, bucket, sequence, offset = zip(*rows, strict=True)
-    ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-    values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-    long = pa.int64()
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(doc_id, long),
-            pa.array(start, long),
-            pa.ListArray.from_arrays(pa.array(ends), values),
-            pa.array(length, long),
-            pa.array(crc, long),
-            pa.array(n, long),
-            pa.array(bucket, pa.int32()),
-            pa.array(sequence, long),
-            pa.array(offset, long),
-        ],
-        names=[
-            "doc_id", "start", "ids", "length", "ids_crc32",
-            "doc_tokens", "bucket", "sequence_id", "offset",
-        ],
-    )
+    columns = {
+        "doc_id": pa.array(doc_id, pa.int64()),
+        "start": pa.array(start, pa.int64()),
+        "ids": None,
+        "length": pa.array(length, pa.int64()),
+        "ids_crc32": pa.array(crc, pa.int64()),
+        "doc_tokens": pa.array(n, pa.int64()),
+        "bucket": pa.array(bucket, pa.int32()),
+        "sequence_id": pa.array(sequence, pa.int64()),
+        "offset": pa.array(offset, pa.int64()),
+    }
+    if keep_ids:
+        ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), values)
+    else:
+        del columns["ids"]
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def op10_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    packed = power_of_two(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    packed = power_of_two(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
+    )
     return packed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"
     )
