@@ -4,10 +4,11 @@
    to hash ranges in sorted blocks; what comes back is how many of a document's shingles
    occur elsewhere. A link needs that share to reach the threshold, so most documents are done.
 2. Equal sets become one representative.
-3. Shingles have a global order, rare ones first (a sketch of fixed size counts them). Linked
-   sets share an element in their prefixes, and two in prefixes longer by one. Small sets
-   enumerate all 2-subsets of the longer prefix; large ones, and what is nearly large, are
-   listed under every prefix element. The boundary is the size with the least total cost.
+3. Shingles have a global order, rare ones first (a sketch sized by their number counts them).
+   Linked sets share an element in their prefixes, and two in prefixes longer by one. Small
+   sets enumerate all 2-subsets of the longer prefix; large ones, and what is nearly large, are
+   listed under every prefix element. The boundary is the size with the least total cost: for
+   both kinds of keys, the bytes of the keys and of the entries of the lists they make.
    Documents that meet under a key are grouped.
 4. Inside a group inverted lists are scanned for exact overlaps, large groups in blocks.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import documents, only_ids, partitions, store
+from txmon.llm.common import documents, only_ids, partitions, small_batches, store
 from txmon.llm.components import components
 from txmon.operators.joins import attach
 
@@ -33,11 +34,17 @@ SHINGLE = 5
 PERCENT = 80
 # Text hashed at once, and shingles that a task sorts at once.
 _TEXT_CHUNK = 1 << 19
-_SORT_CHUNK = 1 << 20
+_SORT_CHUNK = 1 << 18
 _MANY = 0xFFFF
-# Counters of the sketch that orders shingles.
-_COUNTERS = 1 << 20
+# Bits of a sketch's slots, least and most; in between as the number of shingles has. The driver
+# holds three such sketches, and tasks get them.
+_SLOT_BITS = (16, 20)
 _PARTS = 16
+# Bytes of a key with its document, and of a list's entry.
+_KEY_BYTES = 16
+_ENTRY_BYTES = 8
+# A set with more 2-subsets is priced by their bytes alone.
+_PAIRS = 1 << 12
 # Shingles in a group that is verified at once; larger groups are cut in blocks.
 _BLOCK = 500_000
 
@@ -310,23 +317,27 @@ def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- 3. keys under which sets can meet ---
 
 
-def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(_COUNTERS, dtype=np.uint32)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            rows = batch.column(2).slice(at, 1000).to_pylist()
-            hashes = np.frombuffer(b"".join(rows), dtype=_U)
-            counts += np.bincount(_slot(hashes), minlength=_COUNTERS).astype(np.uint32)
-    task = TaskContext.get().partitionId()
-    parts = [p.tobytes() for p in np.split(counts, _PARTS)]
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(range(_PARTS), pa.int32()),
-            pa.array([task % 32] * _PARTS, pa.int32()),
-            pa.array(parts, pa.binary()),
-        ],
-        names=["part", "salt", "counts"],
-    )
+def _counts(keys: Callable[[np.ndarray], Sequence[np.ndarray]], kinds: int, bits: int):
+    """How many keys of each kind fall on each slot, of all sets of a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((kinds, 1 << bits), dtype=np.uint32)
+        for batch in batches:
+            for x in batch.column(2).to_pylist():
+                for own, found in zip(counts, keys(np.frombuffer(x, dtype=_U)), strict=True):
+                    np.add.at(own, _slot(found, bits), 1)
+        task = TaskContext.get().partitionId()
+        parts = [p.tobytes() for p in np.split(counts.ravel(), _PARTS * kinds)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(range(len(parts)), pa.int32()),
+                pa.array([task % 32] * len(parts), pa.int32()),
+                pa.array(parts, pa.binary()),
+            ],
+            names=["part", "salt", "counts"],
+        )
+
+    return run
 
 
 def _add_up(table: pa.Table) -> pa.Table:
@@ -340,20 +351,20 @@ def _add_up(table: pa.Table) -> pa.Table:
     )
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> _U(44)).astype(np.int64)
+def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> _U(64 - bits)).astype(np.int64)
 
 
-def _counters(sets: DataFrame) -> np.ndarray:
-    """How often shingles fall on each counter; the same few MB for any corpus."""
-    kind = "part int, salt int, counts binary"
-    rows = sets.mapInArrow(_sketch, kind)
-    rows = rows.groupBy("part", "salt").applyInArrow(_add_up, kind)
-    rows = rows.groupBy("part").applyInArrow(_add_up, kind)
+def _sketch(sets: DataFrame, keys, kinds: int, bits: int) -> np.ndarray:
+    """Counts by kind and slot: 4 MB a kind at most, for any corpus."""
+    form = "part int, salt int, counts binary"
+    rows = sets.mapInArrow(_counts(keys, kinds, bits), form)
+    rows = rows.groupBy("part", "salt").applyInArrow(_add_up, form)
+    rows = rows.groupBy("part").applyInArrow(_add_up, form)
     parts = {r.part: np.frombuffer(r.counts, dtype=np.uint32) for r in rows.collect()}
     if not parts:
-        return np.zeros(_COUNTERS, dtype=np.uint32)
-    return np.concatenate([parts[i] for i in range(_PARTS)])
+        return np.zeros((kinds, 1 << bits), dtype=np.uint32)
+    return np.concatenate([parts[i] for i in range(_PARTS * kinds)]).reshape(kinds, -1)
 
 
 def _size_class(n: np.ndarray | int) -> np.ndarray | int:
@@ -365,33 +376,68 @@ def _ordered(hashes: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
     """The first elements in the global order: rare ones first, by hash among equals."""
     if length >= len(hashes):
         length = len(hashes)
-    return hashes[np.lexsort((hashes, rank[_slot(hashes)]))[:length]]
+    places = _slot(hashes, len(rank).bit_length() - 1)
+    return hashes[np.lexsort((hashes, rank[places]))[:length]]
+
+
+def _element_keys(prefix: np.ndarray, length: int) -> np.ndarray:
+    return mix(prefix[:length] ^ _WEIGHTS[3])
+
+
+def _pair_keys(prefix: np.ndarray) -> np.ndarray:
+    a, b = np.triu_indices(len(prefix), 1)
+    return mix(prefix[a] * _WEIGHTS[2] + mix(prefix[b]))
+
 
+def _both_keys(rank: np.ndarray):
+    """The keys of a set as a large one, and as a small one unless they are very many."""
 
-def _costs(counters: np.ndarray, rank: np.ndarray):
-    """Per size class: 2-subsets to enumerate, against entries of inverted lists to scan.
+    def keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(hashes)
+        if _needed(n) < 2:
+            return hashes[:0], hashes[:0]
+        length = n - _needed(n) + 1
+        prefix = _ordered(hashes, rank, length + 1)
+        few = len(prefix) * (len(prefix) - 1) // 2 <= _PAIRS
+        return _element_keys(prefix, length), _pair_keys(prefix) if few else hashes[:0]
 
-    A list is as long as its counter without the share that other shingles have on average.
+    return keys
+
+
+def _costs(rank: np.ndarray, lists: np.ndarray):
+    """Bytes per size class, with 2-subsets and with single elements as keys.
+
+    A slot has the key's list and on average as many others as all slots have; over many keys
+    what is too high and what is too low cancel out.
     """
-    lists = np.maximum(1, counters.astype(np.int64) - int(counters.mean()))
+    keys = _both_keys(rank)
+    bits = lists.shape[1].bit_length() - 1
+    others = lists.mean(axis=1)
+
+    def price(kind: int, found: np.ndarray) -> float:
+        entries = lists[kind][_slot(found, bits)].sum() - len(found) * (others[kind] + 1)
+        return _KEY_BYTES * len(found) + _ENTRY_BYTES * float(entries)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        light: dict[int, int] = {}
-        heavy: dict[int, int] = {}
+        light: dict[int, float] = {}
+        heavy: dict[int, float] = {}
         for batch in batches:
             for x in batch.column(2).to_pylist():
                 hashes = np.frombuffer(x, dtype=_U)
-                n = len(hashes)
-                length = n - _needed(n) + 1
-                kind = int(_size_class(n))
-                light[kind] = light.get(kind, 0) + length * (length + 1) // 2
-                scan = int(lists[_slot(_ordered(hashes, rank, length))].sum())
-                heavy[kind] = heavy.get(kind, 0) + scan
+                elements, pairs = keys(hashes)
+                if not len(elements):
+                    continue
+                kind = int(_size_class(len(hashes)))
+                many = len(elements) * (len(elements) + 1) // 2
+                light[kind] = light.get(kind, 0.0) + (
+                    price(1, pairs) if len(pairs) else _KEY_BYTES * many
+                )
+                heavy[kind] = heavy.get(kind, 0.0) + price(0, elements)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(light), pa.int64()),
-                pa.array(list(light.values()), pa.int64()),
-                pa.array([heavy[k] for k in light], pa.int64()),
+                pa.array(list(light.values()), pa.float64()),
+                pa.array([heavy[k] for k in light], pa.float64()),
             ],
             names=["kind", "light", "heavy"],
         )
@@ -399,10 +445,11 @@ def _costs(counters: np.ndarray, rank: np.ndarray):
     return run
 
 
-def _boundary(sets: DataFrame, counters: np.ndarray, rank: np.ndarray) -> int:
+def _boundary(sets: DataFrame, rank: np.ndarray) -> int:
     """The largest size class that enumerates subsets, by least total cost."""
+    lists = _sketch(sets, _both_keys(rank), 2, len(rank).bit_length() - 1)
     rows = (
-        sets.mapInArrow(_costs(counters, rank), "kind long, light long, heavy long")
+        sets.mapInArrow(_costs(rank, lists), "kind long, light double, heavy double")
         .groupBy("kind")
         .agg(F.sum("light").alias("light"), F.sum("heavy").alias("heavy"))
         .orderBy("kind")
@@ -451,10 +498,9 @@ def _document_keys(hashes: np.ndarray, rank: np.ndarray, boundary: int) -> np.nd
     keys = []
     # Sets over the boundary, and small ones that can be linked with them.
     if int(_size_class(max(n, 100 * n // PERCENT))) > boundary:
-        keys.append(mix(prefix[:length] ^ _WEIGHTS[3]))
+        keys.append(_element_keys(prefix, length))
     if small:
-        a, b = np.triu_indices(len(prefix), 1)
-        keys.append(mix(prefix[a] * _WEIGHTS[2] + mix(prefix[b])))
+        keys.append(_pair_keys(prefix))
     return np.concatenate(keys)
 
 
@@ -568,6 +614,11 @@ def _linked(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     digest, ``root`` a number of the component, ``rep`` the smallest id with an equal set. Sets are
     numbered by themselves, so texts that share an id or have none are linked by their own.
     """
+    with small_batches(base.sparkSession):
+        return _linked_in_batches(base)
+
+
+def _linked_in_batches(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     stats = store(
         shared_shingles(base).withColumn(
             "likely", F.expr(f"n_shingles > 0 AND 100 * shared >= {PERCENT} * n_shingles")
@@ -596,9 +647,11 @@ def _linked(base: DataFrame) -> tuple[DataFrame, DataFrame]:
         "join-sets",
     )
 
-    counters = _counters(sets)
+    shingles = sets.agg(F.sum("n")).first()[0] or 0
+    bits = min(max(int(shingles).bit_length(), _SLOT_BITS[0]), _SLOT_BITS[1])
+    counters = _sketch(sets, lambda hashes: [hashes], 1, bits)[0]
     rank = np.ceil(np.log2(counters + 1.0)).astype(np.uint8)
-    boundary = _boundary(sets, counters, rank)
+    boundary = _boundary(sets, rank)
     keys = store(sets.mapInArrow(_keys(rank, boundary), "key long, doc_id long"), "join-keys")
     groups = _groups(keys, sets)
     rows = (
