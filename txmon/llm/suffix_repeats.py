@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import documents, may_be_in, partitions, store
+from txmon.llm.common import documents, may_be_in, partitions, small_batches, store
 from txmon.operators.joins import attach
 
 LENGTH = 100
@@ -39,8 +39,10 @@ GRAM = 32
 # Grams in a string of LENGTH bytes.
 _GRAMS = LENGTH - GRAM + 1
 _TEXT_CHUNK = 1 << 20
-_SEND_CHUNK = 1 << 20
+_SEND_CHUNK = 1 << 18
 _MANY = 0xFFFFFFFF
+# Spans of a bucket that are held before overlapping ones are put together.
+_SPANS_HELD = 1 << 18
 # Bytes of context that a task packs at once.
 _PACK = 1 << 24
 
@@ -339,8 +341,9 @@ def _sorted(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.
     for at in range(0, len(common), 1 << 16):
         a, b = grid[at : at + (1 << 16)], grid[at + 1 : at + 1 + (1 << 16)]
         differs = a[: len(b)] != b
-        found = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-        common[at : at + len(found)] = found
+        # Without any bytes there is nothing to differ in.
+        found = np.where(differs.any(axis=1), differs.argmax(axis=1), width) if width else 0
+        common[at : at + len(b)] = found
     sizes = sizes[order]
     common = np.minimum(common, np.minimum(sizes[1:], sizes[:-1]))
     rank = np.empty(len(parts), dtype=np.int64)
@@ -401,10 +404,17 @@ def _cover(table: pa.Table) -> pa.Table:
     # Entries of one place, as of a repeated row, have the same age.
     age[by_age] = np.maximum.accumulate(np.where(same, 0, np.arange(len(place))))
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size, room = 0, _SPANS_HELD
     for members, left, right in maximal_repeats(rights, lefts):
         own = age[members]
         later = members[own > own.min()]
         out.append((doc_ids[later], place[later] - left, place[later] + right))
+        size += len(later)
+        if size > room:
+            # Nested groups cover the same bytes again and again.
+            out = [_union(*(np.concatenate(x) for x in zip(*out, strict=True)))]
+            size = len(out[0][0])
+            room = max(_SPANS_HELD, 2 * size)
     if not out:
         none = pa.array([], pa.int64())
         return pa.table({"doc_id": none, "start": none, "end": none})
@@ -434,7 +444,7 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, max(1, b.num_rows), 1000)):
         rows = []
         for doc_id, text, spans in zip(
             batch.column(0).to_pylist(), _octets(batch, 1), batch.column(2).to_pylist(), strict=True
@@ -454,7 +464,8 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(base: DataFrame) -> DataFrame:
     """``(doc_id, start, end)``: bytes of ``(doc_id, text)`` that a string starting earlier has."""
-    buckets = 1 << max(4, partitions(base.sparkSession).bit_length())
+    # Several for each reducer, so that a bucket's texts, sorted at once, are few.
+    buckets = 1 << max(4, partitions(base.sparkSession).bit_length() + 2)
     flagged = store(
         base.mapInArrow(_send(buckets), _SENT)
         .groupBy("bucket")
@@ -511,7 +522,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     single = base.filter(~doubtful).unionByName(
         base.filter(doubtful).join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
     )
-    spans = store(repeated_spans(single), "suffix-spans")
+    with small_batches(docs.sparkSession):
+        spans = store(repeated_spans(single), "suffix-spans")
     listed = spans.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
