@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from pathlib import Path
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from txmon.operators import fx, quality
 from txmon.plans import pipeline, reports
 from txmon.session import scratch_dir, shuffle_sizes, sized_for
 from txmon.sources import files, layers, rates
-from workload.queries import _rates
+from workload.queries import _rates, _raw_file
 from workload.transactions import raw_transactions
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +59,24 @@ def test_layers_replace_and_list(spark, tmp_path):
         layers.read_layer(spark, "platinum", "numbers")
 
 
+def test_layers_are_cheap_to_write(spark, tmp_path):
+    layers.ensure_layers(spark, "w_", str(tmp_path))
+    df = spark.range(100).select(F.col("id").cast("string"), F.timestamp_seconds("id").alias("at"))
+    written = layers.write_layer(df, "gold", "times", "w_")
+    assert written.exceptAll(df).isEmpty() and df.exceptAll(written).isEmpty()
+    for file in Path(layers.current_version(spark, "gold", "times", "w_")).glob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        kinds = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+        assert kinds["at"].physical_type == "INT64"
+        assert not any("DICTIONARY" in e for c in kinds.values() for e in c.encodings)
+
+
+def test_raw_files_are_made_by_many_tasks(spark):
+    # The events are one row group, which is one task's.
+    files_made = Path(_raw_file(spark, SF)).glob("*.csv")
+    assert len({re.match(r"part-(\d+)", f.name)[1] for f in files_made}) > 1
+
+
 def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
     layers.ensure_layers(spark, "f_", str(tmp_path))
     layers.write_layer(spark.range(100), "gold", "t", "f_")

@@ -74,8 +74,16 @@ def known_shape(raw: Column) -> Column:
 
     Such a text is its own normal form, and :func:`parse_shaped` reads it.
     """
-    shape = F.translate(raw, "123456789", "000000000")
-    return F.when(shape.isin(*SHAPES), shape)
+    return among_shapes(digits_as_zero(raw))
+
+
+def digits_as_zero(raw: Column) -> Column:
+    return F.translate(raw, "123456789", "000000000")
+
+
+def among_shapes(zeros: Column) -> Column:
+    """Second half of :func:`known_shape`, for callers that keep the first half's result."""
+    return F.when(zeros.isin(*SHAPES), zeros)
 
 
 def parse_shaped(raw: Column, shape: Column) -> Column:
@@ -100,6 +108,8 @@ def parse_shaped(raw: Column, shape: Column) -> Column:
     return (
         F.when(fifth == "-", in_year(late, raw.try_cast("timestamp")))
         .when(third == "-", in_year(early, day_first))
+        # A cast that finds no such month throws inside, which costs more than all the rest.
+        .when((third == "/") & (part(1, 2) > "12"), in_year(early, day_first))
         .when(third == "/", in_year(early, F.coalesce(month_first, day_first)))
         .when(fifth != "0", in_year(late, read(late, dash, part(6, 2), dash, part(9))))
         .otherwise(in_year(late, read(late, dash, part(5, 2), dash, part(7, 2), time)))

@@ -20,7 +20,8 @@ from txmon.config import (
 )
 from txmon.functions import text
 from txmon.functions.timestamps import (
-    known_shape,
+    among_shapes,
+    digits_as_zero,
     parse_shaped,
     parse_timestamp,
     plain_notation,
@@ -80,7 +81,7 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS)
     """
     present = [c for c in columns if c in df.columns]
     texts = F.array(*(F.col(c) for c in present))
-    for step in (_shaped, _tidied, _numbered, _read):
+    for step in (_zeroed, _shaped, _tidied, _numbered, _read):
         texts = F.transform(texts, step)
     added = {}
     for position, c in enumerate(present):
@@ -93,8 +94,12 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS)
     return df
 
 
-def _shaped(raw: Column) -> Column:
-    return F.struct(raw.alias("raw"), known_shape(raw).alias("shape"))
+def _zeroed(raw: Column) -> Column:
+    return F.struct(raw.alias("raw"), digits_as_zero(raw).alias("zeros"))
+
+
+def _shaped(t: Column) -> Column:
+    return F.struct(t["raw"].alias("raw"), among_shapes(t["zeros"]).alias("shape"))
 
 
 def _tidied(t: Column) -> Column:

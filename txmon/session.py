@@ -24,6 +24,8 @@ PHYSICAL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Eight bytes an instant, not the twelve of Spark's old notation, which are slow to write.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 _REDUCER_BYTES = 4 << 30

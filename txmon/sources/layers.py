@@ -51,6 +51,8 @@ def write_layer(
     With ``partition_by`` a value's rows are gathered before they are written, so that a
     folder gets as many files as its size calls for, however many tasks the plan has;
     adaptive execution splits a value with many rows. ``cluster_by`` sorts inside the files.
+    No dictionaries: most columns are times and ids, which fill them and are then written
+    again without, and the compression finds what the others repeat.
     ``observe`` takes aggregates of what is written, without another scan.
     """
     spark = df.sparkSession
@@ -70,7 +72,8 @@ def write_layer(
     if observe:
         # In the stage that writes: a map stage repeated for a lost executor counts twice.
         rows = rows.observe(observe[0], *observe[1])
-    rows.write.partitionBy(*partition_by).parquet(version)
+    plain = {"parquet.enable.dictionary": "false"}
+    rows.write.partitionBy(*partition_by).options(**plain).parquet(version)
     try:
         spark.read.parquet(version)
     except AnalysisException as unreadable:

@@ -64,7 +64,8 @@ def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_file(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "raw-csv")
-    files.write_raw_csv(raw_transactions(spark, sf_dir), path, records_per_file=10_000)
+    raw = raw_transactions(spark, sf_dir, spread=True)
+    files.write_raw_csv(raw, path, records_per_file=10_000)
     return path
 
 

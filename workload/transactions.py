@@ -44,8 +44,12 @@ def _pick(values: tuple, index: Column) -> Column:
     return F.get(F.array(*(F.lit(v) for v in values)), index.cast("int"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed transactions, one per event."""
+def transactions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Typed transactions, one per event.
+
+    A task reads whole row groups, and a table may have few. ``spread`` deals the narrow
+    events to more tasks, for what makes much of each.
+    """
     event = F.col("event_id")
     # Every fifth user has an account of their own, the others share 20 hot ones.
     user = F.when(F.col("user_id") % 5 == 0, F.col("user_id")).otherwise(F.col("user_id") % 20)
@@ -71,7 +75,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .dropDuplicates(["__ben"])
     )
-    typed = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    if spread:
+        tasks = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism,
+        )
+        events = events.repartition(tasks, "event_id")
+    typed = events.select(
         F.concat(F.lit("T"), event).alias("transaction_id"),
         F.concat(F.lit("A"), user).alias("account_id"),
         F.col("ts").cast("timestamp").alias("booking_ts_ts"),
@@ -142,10 +153,10 @@ def time_variant(position: int) -> str:
 
 
 def raw_transactions(
-    spark: SparkSession, sf_dir: str, wanted: Sequence[str] | None = None
+    spark: SparkSession, sf_dir: str, wanted: Sequence[str] | None = None, spread: bool = False
 ) -> DataFrame:
     """The same transactions as a raw file would hold them: strings, untidy ones included."""
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, spread)
     event = F.col("event_id")
     plain = F.col("amount_usd").cast("string")
     grouped = F.format_number("amount_usd", 2)
