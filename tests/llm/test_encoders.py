@@ -38,6 +38,20 @@ def test_words(seed):
     assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_forgotten_between_single_texts(monkeypatch):
+    monkeypatch.setattr(packing, "_MEMORY", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    own = packing.WordTokens(path)
+    for i in range(100):
+        text = " ".join(["often", *(f"w{i}x{j}" for j in range(20))])
+        # As the operator does: one text each, and the iterator is left alone after it.
+        ids = np.frombuffer(next(own.encode_batch([text])), dtype="<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        # At most a text's words and their parts more.
+        assert len(own._memory) <= 50 + 42
+
+
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("group", [bpe._GROUP, 50])
 def test_bytes(monkeypatch, seed, group):

@@ -25,7 +25,7 @@ from txmon.llm.common import documents
 MAX_LENGTH = 2048
 END_ID = 1
 # Distinct words a worker remembers; forgetting costs time only.
-_MEMORY = 800_000
+_MEMORY = 500_000
 # The pre-tokens of the vocabulary's own splitter; fixed by the file.
 _PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Taken for white space by str.split but not by the vocabulary.
@@ -76,8 +76,13 @@ class WordTokens:
     def _word_ids(self, word: str) -> bytes:
         parts = self._pre_tokens(word)
         if len(parts) == 1:
-            return self._parts[parts[0]]
-        return b"".join(map(self._parts.__getitem__, parts))
+            # A word that is its own part is remembered once.
+            return self._part_ids(word) if parts[0] == word else self._part(parts[0])
+        return b"".join(map(self._part, parts))
+
+    def _part(self, part: str) -> bytes:
+        plain = part.isascii() and part.isalpha() and part.islower()
+        return self._memory[part] if plain else self._parts[part]
 
     def _pre_tokens(self, word: str) -> list[str]:
         if not word.isascii():
@@ -97,10 +102,11 @@ class WordTokens:
     def encode_batch(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         for text in texts:
-            yield b"".join(map(self._memory.__getitem__, self._words(text)))
+            # Before the text, as a caller that wants one only never comes back after it.
             if len(self._memory) > _MEMORY:
                 self._memory.clear()
                 self._parts.clear()
+            yield b"".join(map(self._memory.__getitem__, self._words(text)))
 
 
 @functools.cache
