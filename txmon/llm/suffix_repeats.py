@@ -38,13 +38,15 @@ LENGTH = 100
 GRAM = 32
 # Grams in a string of LENGTH bytes.
 _GRAMS = LENGTH - GRAM + 1
-_TEXT_CHUNK = 1 << 20
+# Text hashed at once: some hundred bytes of arrays for each of its bytes.
+_TEXT_CHUNK = 1 << 18
 _SEND_CHUNK = 1 << 18
 _MANY = 0xFFFFFFFF
 # Spans of a bucket that are held before overlapping ones are put together.
 _SPANS_HELD = 1 << 18
-# Bytes of context that a task packs at once.
-_PACK = 1 << 24
+# Bytes of context that a task packs at once, and what an entry takes besides its text.
+_PACK = 1 << 23
+_ENTRY = 500
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -67,7 +69,7 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Of each string of LENGTH bytes in a piece of text: its anchor's place; and gram hashes."""
     octets = np.frombuffer(data, dtype=np.uint8)
-    byte, powers, inverse = _tables(1 << max(21, len(data).bit_length()))
+    byte, powers, inverse = _tables(1 << max(19, len(data).bit_length()))
     total = np.zeros(len(octets) + 1, dtype=_U)
     np.cumsum(byte[octets] * powers[: len(octets)], out=total[1:])
     n = len(octets) - GRAM + 1
@@ -273,12 +275,14 @@ def _pack(buckets: int):
                     if (met := seen.setdefault(key, (ids[i], f))) != (ids[i], f):
                         if met[0] < ids[i] or met[1] < f:
                             covered.append((ids[i], f, f + len(context)))
-                        continue
-                    rows.append((g >> (64 - buckets), ids[i], f, p - f, context))
-                    size += len(context)
-                if size > _PACK:
-                    yield _packed(rows, covered)
-                    rows, covered, size, seen = [], [], 0, {}
+                            size += _ENTRY
+                    else:
+                        rows.append((g >> (64 - buckets), ids[i], f, p - f, context))
+                        size += _ENTRY + 2 * len(context)
+                    # Also inside a text, which may be of any length.
+                    if size > _PACK:
+                        yield _packed(rows, covered)
+                        rows, covered, size, seen = [], [], 0, {}
             if rows or covered:
                 yield _packed(rows, covered)
 
