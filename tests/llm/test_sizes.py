@@ -10,13 +10,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from txmon.llm import suffix_repeats
+from txmon.llm import jaccard, suffix_repeats
 
 
 @pytest.fixture(autouse=True)
 def in_a_task(monkeypatch):
     task = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
-    monkeypatch.setattr(suffix_repeats, "TaskContext", task)
+    for module in (jaccard, suffix_repeats):
+        monkeypatch.setattr(module, "TaskContext", task)
 
 
 def test_anchors_hold_little():
@@ -44,3 +45,19 @@ def test_equal_contexts_are_sent_in_bounded_parts(monkeypatch):
     # Every entry once, and no part with more than its share of them.
     assert sum(held) == 100 * many
     assert max(held) <= 101
+
+
+def test_shingles_are_sent_in_five_bytes():
+    rng = random.Random(2)
+    sets = [[f"{rng.random()}" for _ in range(200)] for _ in range(500)]
+    sets[7] = sets[3]
+    texts = [" ".join(words) for words in sets]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(500)), pa.array(texts)], names=["doc_id", "text"]
+    )
+    sent = pa.Table.from_batches(jaccard._send(8)([batch]))
+    n = sum(len(s) for s in jaccard.shingle_sets([t.encode() for t in texts]))
+    assert sum(c.nbytes for c in sent.select([3, 4]).columns) <= 5 * n
+    matched = pa.concat_tables(jaccard._match(sent.slice(i, 1)) for i in range(sent.num_rows))
+    total = jaccard._total(matched).to_pydict()
+    assert [i for i, x in zip(total["doc_id"], total["shared"], strict=True) if x] == [3, 7]

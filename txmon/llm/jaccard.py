@@ -148,14 +148,19 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
 
 # --- 1. how many shingles of a document occur elsewhere ---
 
-_SENT = "bucket int, batch long, n_docs int, hashes binary, docs binary, ids binary, sizes binary"
+_SENT = "bucket int, batch long, n_docs int, hashes binary, counts binary, ids binary, sizes binary"
 
 
 def _send(buckets: int):
     bits = buckets.bit_length() - 1
 
     def block(batch_id: int, ids: list[int | None], sets: list[np.ndarray]) -> Iterator[tuple]:
-        """Hashes by bucket, each once. What a block has twice is known to be shared."""
+        """Hashes by bucket, each once. What a block has twice is known to be shared.
+
+        They go in the order of their documents, with how many each has: a byte or less for a
+        document, where the document's number would be two for every hash. Those that the
+        block has twice come last, as of one more document.
+        """
         sizes = np.array([len(s) for s in sets], dtype=np.int32)
         every = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
@@ -169,7 +174,7 @@ def _send(buckets: int):
         alone = new & np.append(new[1:], True)[: len(every)]
         shared = np.bincount(owner[~alone], minlength=len(sets)).astype(np.int32)
         hashes = every[new]
-        docs = np.where(alone, owner, np.uint16(_MANY))[new]
+        docs = np.where(alone, owner, np.uint16(len(sets)))[new]
         cuts = np.searchsorted(hashes, np.arange(buckets + 1, dtype=_U) << _U(32))
         low = (hashes & _U(0xFFFFFFFF)).astype(np.uint32)
         unnamed = np.array([i is None for i in ids], dtype=np.int32)
@@ -178,7 +183,9 @@ def _send(buckets: int):
         for p in range(buckets):
             lo, hi = cuts[p], cuts[p + 1]
             own = info if p == batch_id % buckets else (None, None)
-            yield p, batch_id, len(ids), low[lo:hi].tobytes(), docs[lo:hi].tobytes(), *own
+            mine = low[lo:hi][np.argsort(docs[lo:hi], kind="stable")]
+            counts = _packed_counts(np.bincount(docs[lo:hi], minlength=len(sets) + 1))
+            yield p, batch_id, len(ids), mine.tobytes(), counts, *own
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
@@ -186,7 +193,7 @@ def _send(buckets: int):
         sets: list[np.ndarray] = []
         size = 0
         schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("n_docs", pa.int32())]
-                           + [(n, pa.binary()) for n in ("hashes", "docs", "ids", "sizes")])
+                           + [(n, pa.binary()) for n in ("hashes", "counts", "ids", "sizes")])
 
         def out() -> pa.RecordBatch:
             rows = list(zip(*block(number, ids, sets), strict=True))
@@ -210,10 +217,21 @@ def _send(buckets: int):
     return run
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32).tobytes()
+
+
+def _counts_of(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, dtype=np.uint8 if len(packed) == n else np.int32)
+
+
 def _match(table: pa.Table) -> pa.Table:
     """In a bucket: how many hashes of each document other blocks have, too."""
     hashes = [np.frombuffer(x, dtype=np.uint32) for x in table["hashes"].to_pylist()]
-    owners = [np.frombuffer(x, dtype=np.uint16) for x in table["docs"].to_pylist()]
+    owners = [
+        np.repeat(np.append(np.arange(n, dtype=np.uint16), np.uint16(_MANY)), _counts_of(x, n + 1))
+        for n, x in zip(table["n_docs"].to_pylist(), table["counts"].to_pylist(), strict=True)
+    ]
     source = np.repeat(np.arange(len(hashes), dtype=np.int32), [len(h) for h in hashes])
     every, docs = np.concatenate(hashes), np.concatenate(owners)
     order = np.argsort(every, kind="stable")
@@ -228,7 +246,7 @@ def _match(table: pa.Table) -> pa.Table:
     edges = np.searchsorted(source[shared], np.arange(len(hashes) + 1))
     for i, n in enumerate(table["n_docs"].to_pylist()):
         own = np.bincount(docs[shared[edges[i] : edges[i + 1]]], minlength=n)
-        counts.append(own.astype(np.uint8 if own.max(initial=0) < 256 else np.int32).tobytes())
+        counts.append(_packed_counts(own))
     return pa.table(
         {
             "batch": table["batch"],
@@ -250,7 +268,7 @@ def _total(table: pa.Table) -> pa.Table:
     ids = pa.array(np.frombuffer(rows[at], dtype=np.int64), mask=unnamed == 1)
     shared = shared.astype(np.int64)
     for counts in table["counts"].to_pylist():
-        shared = shared + np.frombuffer(counts, dtype=np.uint8 if len(counts) == n else np.int32)
+        shared = shared + _counts_of(counts, n)
     return pa.table({"doc_id": ids, "n_shingles": sizes.astype(np.int64), "shared": shared})
 
 
