@@ -61,3 +61,19 @@ def test_shingles_are_sent_in_five_bytes():
     matched = pa.concat_tables(jaccard._match(sent.slice(i, 1)) for i in range(sent.num_rows))
     total = jaccard._total(matched).to_pydict()
     assert [i for i, x in zip(total["doc_id"], total["shared"], strict=True) if x] == [3, 7]
+
+
+def test_a_group_is_verified_in_little_memory():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(5000)]
+    n = len(sets)
+    columns = {c: pa.array([k] * n, pa.int64()) for c, k in (("i", 0), ("j", 1), ("copies", 1))}
+    columns["side"] = pa.array([k % 2 for k in range(n)], pa.int64())
+    columns["doc_id"] = pa.array(range(n), pa.int64())
+    columns["hashes"] = pa.array([s.tobytes() for s in sets], pa.binary())
+    table = pa.table(columns)
+    tracemalloc.start()
+    jaccard._verify(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 << 20

@@ -46,7 +46,7 @@ _ENTRY_BYTES = 8
 # A set with more 2-subsets is priced by their bytes alone.
 _PAIRS = 1 << 12
 # Shingles in a group that is verified at once; larger groups are cut in blocks.
-_BLOCK = 500_000
+_BLOCK = 800_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -545,20 +545,23 @@ def _verify(table: pa.Table) -> pa.Table:
     weight = table["copies"].to_numpy()
     sets = [np.frombuffer(x, dtype=_U) for x in table["hashes"].to_pylist()]
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     every = np.concatenate(sets)
     # Inverted lists of the elements that several sets have.
-    order = np.argsort(every, kind="stable")
-    new = np.append(True, every[order][1:] != every[order][:-1])
-    element = np.empty(len(every), dtype=np.int64)
-    element[order] = np.cumsum(new) - 1
-    begin = np.flatnonzero(new)
-    count = np.diff(np.append(begin, len(every)))
+    order = np.argsort(every, kind="stable").astype(np.int32)
     lists = owner[order]
+    every = every[order]
+    new = np.append(True, every[1:] != every[:-1])
+    del owner, every, sets
+    element = np.empty(len(order), dtype=np.int32)
+    element[order] = np.cumsum(new, dtype=np.int32) - 1
+    begin = np.flatnonzero(new)
+    count = np.diff(np.append(begin, len(order)))
+    del order, new
     at = np.concatenate([[0], np.cumsum(sizes)])
 
-    parent = np.arange(len(sets))
-    links = np.zeros(len(sets), dtype=np.int64)
+    parent = np.arange(len(sizes))
+    links = np.zeros(len(sizes), dtype=np.int64)
     edges: list[tuple[int, int]] = []
 
     def root(x: int) -> int:
@@ -567,7 +570,7 @@ def _verify(table: pa.Table) -> pa.Table:
             x = parent[x]
         return x
 
-    for a in range(len(sets)):
+    for a in range(len(sizes)):
         own = element[at[a] : at[a + 1]]
         own = own[count[own] > 1]
         n = count[own]
@@ -575,7 +578,7 @@ def _verify(table: pa.Table) -> pa.Table:
             continue
         ends = np.cumsum(n)
         scan = np.arange(ends[-1]) + np.repeat(begin[own] - ends + n, n)
-        overlap = np.bincount(lists[scan], minlength=len(sets))
+        overlap = np.bincount(lists[scan], minlength=len(sizes))
         linked = 100 * overlap >= PERCENT * (sizes + sizes[a] - overlap)
         linked[a] = False
         if cross:
