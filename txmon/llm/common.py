@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,14 +96,17 @@ def may_be_in(ids: DataFrame, key: str) -> Callable[[Column], Column]:
     )
     bitmap = np.zeros(_FILTER_BITS >> 6, dtype=np.uint64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    octets = bitmap.view(np.uint8)
+    # A query of one value, which tasks get with their code: no Python worker beside those that
+    # a task has anyway, and no rows that wait for it.
+    table = pa.table({"words": pa.array([bitmap.view(np.int64)], pa.list_(pa.int64()))})
+    held = ids.sparkSession.createDataFrame(table)
 
-    @F.pandas_udf("boolean")
-    def possible(slots: pd.Series) -> pd.Series:
-        s = slots.to_numpy()
-        return pd.Series((octets[s >> 3] >> (s & 7)) & 1 == 1)
+    def possible(column: Column) -> Column:
+        at = slot(column)
+        word = F.get(held.scalar(), F.shiftright(at, 6).cast("int"))
+        return F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    return lambda column: possible(slot(column))
+    return possible
 
 
 def only_ids(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
