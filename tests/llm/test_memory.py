@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txmon.llm import common
+from txmon.llm import common, jaccard
 
 
 def test_the_id_filter_needs_no_python_worker(spark):
@@ -22,3 +22,13 @@ def test_the_id_filter_needs_no_python_worker(spark):
     assert None in wanted and all(found[i] for i in wanted)
     # Hardly any others pass.
     assert sum(found.values()) <= len(wanted) + 20
+
+
+def test_a_task_of_the_join_has_one_python_worker(spark):
+    docs = spark.range(100).selectExpr("id AS doc_id", "CAST(id % 9 AS string) AS text")
+    ids = spark.range(0, 100, 3).selectExpr("id AS rep")
+    for work, form in ((jaccard._digests, jaccard._DIGESTS), (jaccard._set_rows, jaccard._SETS)):
+        rows = common.only_ids(docs, "doc_id", ids, "rep").mapInArrow(work, form)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+        assert sorted(r.doc_id for r in rows.collect()) == list(range(0, 100, 3))
