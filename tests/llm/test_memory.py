@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from txmon.llm import common, jaccard
+from txmon.llm import common, jaccard, packing
 
 
 def test_the_id_filter_needs_no_python_worker(spark):
@@ -32,3 +33,18 @@ def test_a_task_of_the_join_has_one_python_worker(spark):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
         assert sorted(r.doc_id for r in rows.collect()) == list(range(0, 100, 3))
+
+
+def test_frequent_words_are_learned_once():
+    own = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    merge, merged = own._merge, []
+    own._merge = lambda part: merged.append(part) or merge(part)
+    n = packing._MEMORY // 40
+    for i in range(0, 150 * n, n):
+        next(own.encode_batch([" ".join(["often", "Oft,", "déjà", *map(letters, range(i, i + n))])]))
+    assert [merged.count(part) for part in ("often", "oft", ",", "dÃ©jÃł")] == [1] * 4
+    assert len(own._memory) + len(own._memory._older) <= 2 * packing._MEMORY + 4 * n
+
+
+def letters(i: int) -> str:
+    return "x" + str(i).translate(str.maketrans("0123456789", "abcdefghij"))

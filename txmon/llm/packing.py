@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -24,27 +25,45 @@ from txmon.llm.common import documents
 
 MAX_LENGTH = 2048
 END_ID = 1
-# Distinct words a worker remembers; forgetting costs time only.
-_MEMORY = 500_000
+# Distinct words after which a worker starts anew, with those before at hand until the next time;
+# forgetting costs time only.
+_MEMORY = 200_000
 # The pre-tokens of the vocabulary's own splitter; fixed by the file.
 _PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Taken for white space by str.split but not by the vocabulary.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_BEYOND_LATIN = re.compile("[^\x00-\xff]").search
 _UNICODE_SPACE = re.compile(
     "[\t-\r \x85\xa0  -     　]+"
 )
 
 
 class _Learned(dict):
-    """Values made when they are first asked for."""
+    """Values made when they are first asked for, or taken from those learned before."""
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes]) -> None:
         self._make = make
+        self._older = older
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self._make(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
         return value
 
+    def renewed(self) -> _Learned:
+        """An empty one that still knows what this one has, but not what came before."""
+        self._older = {}
+        return _Learned(self._make, self)
+
+
+def _byte_spelling() -> list[str]:
+    """How byte-level vocabularies spell each byte: visible ones as themselves."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in seen else next(hidden)) for b in range(256)]
+
 
 class WordTokens:
     """Ids of whole texts, each distinct word going through the tokenizer once.
@@ -54,19 +73,17 @@ class WordTokens:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self._normal = tokenizer.normalizer.normalize_str
         # Pre-tokens go straight to the merges, spelt as the vocabulary spells bytes; those of
         # visible ASCII are spelt as they are.
         self._merge = tokenizer.model.tokenize
-        self._spelt = pre_tokenizers.ByteLevel(
-            add_prefix_space=False, use_regex=False
-        ).pre_tokenize_str
+        self._spelling = _byte_spelling().__getitem__
         self._split = regex.compile(_PRE_TOKEN).findall
-        self._memory = _Learned(self._word_ids)
-        self._parts = _Learned(self._part_ids)
+        self._memory = _Learned(self._word_ids, {})
+        self._parts = _Learned(self._part_ids, {})
 
     def _words(self, text: str) -> list[str]:
         if _ODD_SPACE.search(text):
@@ -74,38 +91,38 @@ class WordTokens:
         return text.split()
 
     def _word_ids(self, word: str) -> bytes:
-        parts = self._pre_tokens(word)
-        if len(parts) == 1:
+        # Most words are letters, or letters and a mark.
+        if word.isascii():
+            low = word.lower()
+        elif _BEYOND_LATIN(word):
+            return b"".join(map(self._part, self._split(self._normal(word))))
+        else:
+            # No marks to put together, and no letter with lower-case ones of its own.
+            low = word.lower()
+        if low.isalpha():
             # A word that is its own part is remembered once.
-            return self._part_ids(word) if parts[0] == word else self._part(parts[0])
-        return b"".join(map(self._part, parts))
+            return self._part_ids(low) if low == word else self._part(low)
+        head, mark = low[:-1], low[-1]
+        if head.isalpha() and mark.isascii() and mark.isprintable():
+            return self._part(head) + self._parts[mark]
+        return b"".join(map(self._part, self._split(low)))
 
     def _part(self, part: str) -> bytes:
-        plain = part.isascii() and part.isalpha() and part.islower()
-        return self._memory[part] if plain else self._parts[part]
-
-    def _pre_tokens(self, word: str) -> list[str]:
-        if not word.isascii():
-            return self._split(self._normal(word))
-        # Most words are letters, or letters and a mark.
-        if word.isalpha():
-            return [word.lower()]
-        if word[:-1].isalpha() and word[-1].isprintable():
-            return [word[:-1].lower(), word[-1]]
-        return self._split(word.lower())
+        plain = part.isalpha() and part.islower()
+        return self._memory[part] if plain and not _BEYOND_LATIN(part) else self._parts[part]
 
     def _part_ids(self, part: str) -> bytes:
-        plain = part.isascii() and part.isprintable()
-        merged = self._merge(part if plain else self._spelt(part)[0][0])
-        return b"".join(t.id.to_bytes(4, "little") for t in merged)
+        if not (part.isascii() and part.isprintable()):
+            part = "".join(map(self._spelling, part.encode()))
+        return struct.pack(f"<{len(merged := self._merge(part))}I", *[t.id for t in merged])
 
     def encode_batch(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         for text in texts:
             # Before the text, as a caller that wants one only never comes back after it.
             if len(self._memory) > _MEMORY:
-                self._memory.clear()
-                self._parts.clear()
+                self._memory = self._memory.renewed()
+                self._parts = self._parts.renewed()
             yield b"".join(map(self._memory.__getitem__, self._words(text)))
 
 
