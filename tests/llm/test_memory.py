@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from txmon.llm import common, jaccard, packing
+from txmon.llm import common, jaccard, packing, suffix_repeats
 
 
 def test_the_id_filter_needs_no_python_worker(spark):
@@ -35,6 +35,16 @@ def test_a_task_of_the_join_has_one_python_worker(spark):
         assert sorted(r.doc_id for r in rows.collect()) == list(range(0, 100, 3))
 
 
+def test_a_task_of_the_repeats_has_one_python_worker(spark):
+    passage = "'" + " ".join(f"word{i}" for i in range(40)) + "'"
+    docs = spark.range(20).selectExpr("id AS doc_id", f"concat('own', id, {passage}) AS text")
+    kept = docs.filter(~common.may_be_in(spark.range(3), "id")(F.col("doc_id")))
+    spans = suffix_repeats.repeated_spans(kept)
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    assert {r.doc_id for r in spans.collect()} == set(range(4, 20))
+
+
 def test_frequent_words_are_learned_once():
     own = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
     merge, merged = own._merge, []
