@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -45,6 +46,15 @@ def test_a_task_of_the_repeats_has_one_python_worker(spark):
     assert {r.doc_id for r in spans.collect()} == set(range(4, 20))
 
 
+def test_anchors_are_spread_over_the_buckets():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 20_000, dtype=np.uint8).tobytes() for _ in range(20)]
+    hashes = np.concatenate([own[0] for own in suffix_repeats.anchors(texts)])
+    # Least hashes of 69 lie near 0: by their upper bits, the first of 16 buckets had nearly all.
+    sizes = np.bincount((hashes >> np.uint64(60)).astype(np.int64), minlength=16)
+    assert len(hashes) > 9000 and sizes.max() < 1.2 * len(hashes) / 16
+
+
 def test_frequent_words_are_learned_once():
     own = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
     merge, merged = own._merge, []

@@ -120,7 +120,8 @@ def _group_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else empty
         many = np.diff(np.append(first, len(own)))
         at = own[first]
-        yield grams[at], at - begin, first, many
+        # Anchors are least hashes, nearly all near 0: mixed again they are spread evenly.
+        yield _mix(grams[at]), at - begin, first, many
 
 
 def _octets(batch: pa.RecordBatch, column: int) -> list[bytes]:
@@ -307,7 +308,8 @@ def _packed(rows: list[tuple], covered: list[tuple]) -> pa.RecordBatch:
             )
         )
     if covered:
-        out.append((-1, *(np.array(x, dtype=np.int64).tobytes() for x in zip(*covered, strict=True)), b"", b""))
+        spans = _union(*(np.array(x, dtype=np.int64) for x in zip(*covered, strict=True)))
+        out.append((-1, *(x.tobytes() for x in spans), b"", b""))
     salt = TaskContext.get().partitionId()
     names = ["bucket", "doc_ids", "starts", "offsets", "sizes", "texts"]
     kinds = [pa.int32(), *[pa.binary()] * 5]
