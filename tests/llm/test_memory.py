@@ -55,6 +55,49 @@ def test_anchors_are_spread_over_the_buckets():
     assert len(hashes) > 9000 and sizes.max() < 1.2 * len(hashes) / 16
 
 
+def test_contexts_of_a_frequent_gram_are_compared_in_parts(monkeypatch):
+    rng = np.random.default_rng(4)
+    prose = lambda n: rng.integers(97, 101, n, dtype=np.uint8).tobytes()
+    line, passage = prose(85), prose(180)
+    docs = [(i, prose(150) + (line, passage)[i % 2] + prose(150)) for i in range(60)]
+    docs += [(100 + i, prose(10 * i) + b"The " * (30 + i)) for i in range(10)]
+    docs += [docs[1]] * 8 + [docs[0], docs[64]]
+    rows = []
+    for (doc_id, text), (_, place, first, many) in zip(
+        docs, suffix_repeats.anchors([t for _, t in docs]), strict=True
+    ):
+        for p, f, m in zip(place.tolist(), first.tolist(), many.tolist(), strict=True):
+            rows.append((doc_id, f, p - f, m + 99, text[f : f + m + 99]))
+    *numbers, texts = zip(*rows, strict=True)
+    numbers = [np.array(x, dtype=np.int64) for x in numbers]
+    # All strings of 100 bytes, the plain way.
+    earliest: dict[bytes, tuple[int, int]] = {}
+    for doc_id, text in docs:
+        for at in range(len(text) - 99):
+            place = (doc_id, at)
+            earliest[text[at : at + 100]] = min(place, earliest.get(text[at : at + 100], place))
+    wanted = {
+        (doc_id, at + k)
+        for doc_id, text in docs
+        for at in range(len(text) - 99)
+        if earliest[text[at : at + 100]] < (doc_id, at)
+        for k in range(100)
+    }
+    whole, compared = suffix_repeats.maximal_repeats, []
+    monkeypatch.setattr(
+        suffix_repeats,
+        "maximal_repeats",
+        lambda rights, lefts: compared.append(len(rights)) or whole(rights, lefts),
+    )
+    for most in (1, 2, 7, 50, 10_000):
+        compared.clear()
+        found = suffix_repeats.covered(*numbers, b"".join(texts), most)
+        spans = zip(*(x.tolist() for x in found), strict=True)
+        assert {(i, k) for i, begin, end in spans for k in range(begin, end)} == wanted
+        assert max(compared, default=0) <= most
+    assert len(wanted) > 5000
+
+
 def test_frequent_words_are_learned_once():
     own = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
     merge, merged = own._merge, []

@@ -44,6 +44,9 @@ _SEND_CHUNK = 1 << 18
 _MANY = 0xFFFFFFFF
 # Spans of a bucket that are held before overlapping ones are put together.
 _SPANS_HELD = 1 << 18
+# Contexts of a bucket that are compared at once, and rows of bytes that are hashed at once.
+_COMPARED = 1 << 15
+_ROWS = 1 << 14
 # Bytes of context that a task packs at once, and what an entry takes besides its text.
 _PACK = 1 << 23
 _ENTRY = 500
@@ -398,34 +401,133 @@ def _cover(table: pa.Table) -> pa.Table:
         for c in ("offsets", "sizes")
     )
     text = b"".join(table["texts"].to_pylist())
-    ends = np.cumsum(sizes)
-    rights, lefts = [], []
-    for lo, hi, at in zip((ends - sizes).tolist(), ends.tolist(), offsets.tolist(), strict=True):
-        rights.append(text[lo + at : hi])
-        lefts.append(text[lo : lo + at][::-1])
+    spans = covered(doc_ids, starts, offsets, sizes, text)
+    return pa.table(dict(zip(("doc_id", "start", "end"), spans, strict=True)))
+
+
+def covered(
+    doc_ids: np.ndarray, starts: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, text: bytes,
+    most: int = _COMPARED,
+) -> tuple[np.ndarray, ...]:
+    """Spans of contexts that also start earlier; at most some ``most`` contexts are compared at once."""
+    anchor = np.cumsum(sizes) - sizes + offsets
     place = starts + offsets
     age = np.empty(len(place), dtype=np.int64)
     by_age = np.lexsort((place, doc_ids))
     same = np.append(False, (np.diff(doc_ids[by_age]) == 0) & (np.diff(place[by_age]) == 0))
     # Entries of one place, as of a repeated row, have the same age.
     age[by_age] = np.maximum.accumulate(np.where(same, 0, np.arange(len(place))))
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(place[:0],) * 3]
     size, room = 0, _SPANS_HELD
-    for members, left, right in maximal_repeats(rights, lefts):
-        own = age[members]
-        later = members[own > own.min()]
-        out.append((doc_ids[later], place[later] - left, place[later] + right))
-        size += len(later)
-        if size > room:
-            # Nested groups cover the same bytes again and again.
-            out = [_union(*(np.concatenate(x) for x in zip(*out, strict=True)))]
-            size = len(out[0][0])
-            room = max(_SPANS_HELD, 2 * size)
-    if not out:
-        none = pa.array([], pa.int64())
-        return pa.table({"doc_id": none, "start": none, "end": none})
-    ids, begin, end = (np.concatenate(x) for x in zip(*out, strict=True))
-    return pa.table(dict(zip(("doc_id", "start", "end"), _union(ids, begin, end), strict=True)))
+    octets = np.frombuffer(text, dtype=np.uint8)
+    for known, own, left, right in _parts(octets, anchor, offsets, sizes - offsets, age, most):
+        found = [(own, left, right)] if known else _later(text, anchor[own], left, right, age[own], own)
+        for members, before, after in found:
+            out.append((doc_ids[members], place[members] - before, place[members] + after))
+            size += len(members)
+            if size > room:
+                # Nested groups cover the same bytes again and again.
+                out = [_union(*(np.concatenate(x) for x in zip(*out, strict=True)))]
+                size = len(out[0][0])
+                room = max(_SPANS_HELD, 2 * size)
+    return _union(*(np.concatenate(x) for x in zip(*out, strict=True)))
+
+
+def _later(
+    text: bytes, anchor: np.ndarray, left: np.ndarray, right: np.ndarray, age: np.ndarray, own: np.ndarray
+) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Of each group of equal strings around anchors: all but the earliest."""
+    rights, lefts = [], []
+    for at, before, after in zip(anchor.tolist(), left.tolist(), right.tolist(), strict=True):
+        rights.append(text[at : at + after])
+        lefts.append(text[at - before : at][::-1])
+    for members, before, after in maximal_repeats(rights, lefts):
+        older = age[members]
+        yield own[members[older > older.min()]], before, after
+
+
+def _parts(
+    octets: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray, age: np.ndarray,
+    most: int,
+) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(known, entries, left, right)``: contexts to compare, so that equal strings meet.
+
+    Contexts of different grams need not meet. Those of a gram that has too many are cut: strings
+    with ``low`` to ``high`` bytes before their anchor have some bytes around it in common, more
+    the nearer the two bounds are, and meet by these. Of equal ones all but the earliest are known
+    to be covered (``known``) and go no further, so what meets by a whole string is different.
+    """
+    todo = [(np.arange(len(anchor)), 0, LENGTH - GRAM)]
+    while todo:
+        own, low, high = todo.pop()
+        own = own[(left[own] >= low) & (right[own] >= LENGTH - high)]
+        if len(own) > most:
+            before, after = np.minimum(left[own], high), np.minimum(right[own], LENGTH - low)
+            first = _first(octets, anchor[own], before, after, age[own])
+            again = age[own] > age[own[first]]
+            yield True, own[again], before[again], after[again]
+            # Nor do others of the same place, as of a repeated row: they are covered alike.
+            own = own[first == np.arange(len(own))]
+        if len(own) <= most:
+            yield False, own, np.minimum(left[own], high), np.minimum(right[own], LENGTH - low)
+            continue
+        same = np.full(len(own), low), np.full(len(own), LENGTH - high)
+        keys = _hashes(octets, anchor[own], *same)
+        order = np.argsort(keys, kind="stable")
+        own, keys = own[order], keys[order]
+        cuts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(own))
+        first = 0
+        while first < len(cuts) - 1:
+            # As many groups as fit, at least one.
+            last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + most, "right")) - 1)
+            part = own[cuts[first] : cuts[last]]
+            if len(part) > most and low < high:
+                middle = (low + high) // 2
+                todo += [(part, low, middle), (part, middle + 1, high)]
+            elif len(part) > 1:
+                yield False, part, np.minimum(left[part], high), np.minimum(right[part], LENGTH - low)
+            first = last
+
+
+def _rows(octets: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """Bytes from ``begin`` on, ``size`` of them and zeros up to ``width``."""
+    at = np.arange(width)
+    rows = octets[np.minimum(begin[:, None] + at, len(octets) - 1)]
+    return np.where(at < size[:, None], rows, np.uint8(0))
+
+
+def _hashes(octets: np.ndarray, anchor: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Of the bytes around anchors, that many before and after."""
+    size = before + after
+    width = -(-int(size.max(initial=0)) // 8) * 8
+    out = np.empty(len(anchor), dtype=_U)
+    for at in range(0, len(anchor), _ROWS):
+        cut = slice(at, at + _ROWS)
+        total = _mix((before[cut] << 8 | after[cut]).astype(_U))
+        for word in _rows(octets, (anchor - before)[cut], size[cut], width).view(_U).T:
+            total = _mix((total ^ word) * _BASE)
+        out[cut] = total
+    return out
+
+
+def _first(
+    octets: np.ndarray, anchor: np.ndarray, before: np.ndarray, after: np.ndarray, age: np.ndarray
+) -> np.ndarray:
+    """Of each context, the earliest that is equal; what has equal hashes is compared."""
+    keys = _hashes(octets, anchor, before, after)
+    order = np.lexsort((age, keys))
+    new = np.append(True, keys[order][1:] != keys[order][:-1])
+    first = np.empty(len(keys), dtype=np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+    size = before + after
+    for at in range(0, len(first), _ROWS):
+        own = np.arange(at, min(at + _ROWS, len(first)))
+        to = first[own]
+        width = int(size[own].max())
+        a, b = (_rows(octets, (anchor - before)[x], size[x], width) for x in (own, to))
+        equal = (a == b).all(axis=1) & (before[own] == before[to]) & (after[own] == after[to])
+        first[own] = np.where(equal, to, own)
+    return first
 
 
 def _union(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
