@@ -55,6 +55,13 @@ def test_anchors_are_spread_over_the_buckets():
     assert len(hashes) > 9000 and sizes.max() < 1.2 * len(hashes) / 16
 
 
+def test_ids_of_blocks_are_spread_over_the_buckets(spark):
+    docs = spark.range(0, 64, 1, 8).selectExpr("id AS doc_id", "repeat(concat('own text ', id), 20) AS text")
+    sent = docs.mapInArrow(suffix_repeats._send(16), suffix_repeats._SENT)
+    rows = sent.filter("ids IS NOT NULL").select("bucket", "batch").collect()
+    assert len({r.batch for r in rows}) == 8 and len({r.bucket for r in rows}) == 8
+
+
 def test_contexts_of_a_frequent_gram_are_compared_in_parts(monkeypatch):
     rng = np.random.default_rng(4)
     prose = lambda n: rng.integers(97, 101, n, dtype=np.uint8).tobytes()

@@ -152,11 +152,13 @@ def _send(buckets: int):
         cuts = np.searchsorted(hashes, np.arange(buckets + 1, dtype=_U) << _U(32))
         low = (hashes & _U(0xFFFFFFFF)).astype(np.uint32)
         sizes = np.array([len(x) for x in found], dtype=np.uint32)
+        # Ids go to one bucket, another for each block: also for the first ones of all tasks.
+        turn = (number + 31 * (number >> 24)) % buckets
         rows = []
         for p in range(buckets):
             lo, hi = cuts[p], cuts[p + 1]
             own = (None, None)
-            if p == number % buckets:
+            if p == turn:
                 own = (
                     np.array(ids, dtype=np.int64).tobytes(),
                     np.concatenate([sizes, again]).tobytes(),
