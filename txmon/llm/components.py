@@ -53,6 +53,16 @@ def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _each(rows: DataFrame, names: tuple[str, str], *pairs: tuple[str, str]) -> DataFrame:
+    """Several pairs of columns of a row, each as a row.
+
+    A union would have what makes the rows once for each pair, and a round's plan, where such
+    steps are nested, many times as large; the driver keeps plans.
+    """
+    each = [F.struct(*(F.col(c).alias(n) for c, n in zip(pair, names, strict=True))) for pair in pairs]
+    return rows.select(F.inline(F.array(*each)))
+
+
 def _smallest(edges: DataFrame, node: str) -> DataFrame:
     """Edges with the smallest of a node's neighbours and itself."""
     least = edges.groupBy(node).agg(F.min("w").alias("least"))
@@ -73,17 +83,13 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         # Larger neighbours are tied to the smallest one.
-        both = now.select(F.col("u").alias("n"), F.col("v").alias("w")).unionByName(
-            now.select(F.col("v").alias("n"), F.col("u").alias("w"))
-        )
+        both = _each(now, ("n", "w"), ("u", "v"), ("v", "u"))
         large = _smallest(both, "n").filter("w > n").select(
             F.col("w").alias("n"), F.col("least").alias("w")
         ).filter("n <> w").distinct()
         # Smaller neighbours and the node itself are tied to the smallest one.
         small = _smallest(large, "n")
-        tied = small.select(F.col("w").alias("u"), F.col("least").alias("v")).unionByName(
-            small.select(F.col("n").alias("u"), F.col("least").alias("v"))
-        )
+        tied = _each(small, ("u", "v"), ("w", "least"), ("n", "least"))
         now = store(tied.filter("u <> v").distinct(), "edges")
         new = now.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum("v")

@@ -299,66 +299,78 @@ def vote_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def train(counts: DataFrame, rounds: int = 8, steps: int = 6) -> SpanModel:
     """Expectation-maximisation over vote patterns, then Newton steps of the classifier.
 
-    Each round is one aggregation of the counts to a row of sums. Without any spans the
-    classifier weighs all votes alike.
+    Each round is one aggregation of the counts, with a row for each vote of a labeler or pair of
+    inputs rather than a column, and with parameters in an array, so that rounds share their
+    code: the driver plans and keeps little. Without any spans the classifier weighs all
+    votes alike.
     """
-    table = counts.orderBy("kind", *LABELERS).coalesce(1)
-    total = F.lit(0)
-    for name in LABELERS:
-        total = total + F.col(name)
+    names = [F.col(name).cast("int") for name in LABELERS]
+    inputs = [F.lit(1.0), *(x.cast("double") for x in names)]
+    inputs += [F.when(F.col("kind") == k, 1.0).otherwise(0.0) for k in range(len(KINDS))]
+    # In a fixed order and one file: sums of doubles depend on it. All rows vote 0 in place 0.
+    known = store(
+        counts.orderBy("kind", *LABELERS)
+        .coalesce(1)
+        .select("n", F.array(F.lit(0), *names).alias("said"), F.array(*inputs).alias("x")),
+        "pii-patterns",
+    )
+    total = F.aggregate("said", F.lit(0), lambda sum_, v: sum_ + v)
     label = F.when(total > 0, 0.9).when(total < 0, 0.1).otherwise(0.5)
     prior, reliability = 0.5, np.full((len(LABELERS), 2, 3), 1 / 3)
     for _ in range(rounds):
-        sums = [F.sum(F.col("n") * y) for y in (1 - label, label)]
-        for name in LABELERS:
-            for y in (1 - label, label):
-                sums += [F.sum(F.when(F.col(name) == v, F.col("n") * y).otherwise(0.0)) for v in (-1, 0, 1)]
-        row = table.agg(*(s.cast("double").alias(f"s{i}") for i, s in enumerate(sums))).first()
-        if row[0] is None:
+        rows = (
+            known.select("n", "said", label.alias("y"))
+            .select("n", "y", F.posexplode("said").alias("at", "vote"))
+            .groupBy("at", "vote")
+            .agg(F.sum(F.col("n") * (1 - F.col("y"))), F.sum(F.col("n") * F.col("y")))
+            .collect()
+        )  # at most three a labeler
+        if not rows:
             weights = np.zeros(1 + len(LABELERS) + len(KINDS))
             weights[1 : 1 + len(LABELERS)] = 1
             return SpanModel(prior, reliability, weights)
-        mass = np.array(row[:2])
-        prior = round((mass[1] + 1) / (mass.sum() + 2), 9)
+        cells = np.zeros((1 + len(LABELERS), 2, 3))
+        for at, vote, *sums in rows:
+            cells[at, :, vote + 1] = sums
+        mass = cells[0, :, 1]
+        prior = round(float((mass[1] + 1) / (mass.sum() + 2)), 9)
         # A vote more in every cell, so that no probability is 0.
-        cells = np.array(row[2:]).reshape(len(LABELERS), 2, 3) + 1
+        cells = cells[1:] + 1
         reliability = np.round(cells / cells.sum(axis=2, keepdims=True), 9)
-        odds = F.lit(math.log(prior / (1 - prior)))
-        for j, name in enumerate(LABELERS):
-            gain = np.log(reliability[j, 1] / reliability[j, 0])
-            odds = odds + F.when(F.col(name) < 0, float(gain[0])).when(
-                F.col(name) > 0, float(gain[2])
-            ).otherwise(float(gain[1]))
+        terms = [math.log(prior / (1 - prior))]
+        for own in reliability:
+            terms += np.log(own[1] / own[0]).tolist()
+        held = F.lit(terms)
+        odds = F.get(held, F.lit(0))
+        for j in range(1, 1 + len(LABELERS)):
+            odds = odds + F.get(held, F.get("said", F.lit(j)) + (3 * j - 1))
         label = 1 / (1 + F.exp(-odds))
 
-    inputs = [F.lit(1.0), *(F.col(name).cast("double") for name in LABELERS)]
-    inputs += [F.when(F.col("kind") == k, 1.0).otherwise(0.0) for k in range(len(KINDS))]
-    size = len(inputs)
-    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
-    known = store(
-        table.select("n", label.alias("y"), *(x.alias(f"x{i}") for i, x in enumerate(inputs))),
-        "pii-labels",
-    )
-    weights = np.zeros(size)
+    labelled = store(known.select("n", label.alias("y"), "x"), "pii-labels")
+    weights = np.zeros(len(inputs))
     for _ in range(steps):
-        score = F.lit(0.0)
-        for i, w in enumerate(weights):
-            score = score + F.lit(float(w)) * F.col(f"x{i}")
-        p = 1 / (1 + F.exp(-score))
-        step = known.select("*", p.alias("p"))
-        sums = [F.sum(F.col("n") * (F.col("y") - F.col("p")) * F.col(f"x{i}")) for i in range(size)]
-        sums += [
-            F.sum(F.col("n") * F.col("p") * (1 - F.col("p")) * F.col(f"x{i}") * F.col(f"x{j}"))
-            for i, j in pairs
-        ]
-        row = step.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()
-        slope = np.array(row[:size]) - weights
-        curve = np.eye(size)
-        for (i, j), value in zip(pairs, row[size:], strict=True):
-            curve[i, j] += value
+        terms = F.zip_with("x", F.lit(weights.tolist()), lambda x, w: w * x)
+        score = F.aggregate(terms, F.lit(0.0), lambda sum_, v: sum_ + v)
+        rows = (
+            labelled.select("n", "y", "x", (1 / (1 + F.exp(-score))).alias("p"))
+            .select("n", "y", "x", "p", F.posexplode("x").alias("i", "a"))
+            .select("*", F.posexplode(F.slice("x", F.lit(1), F.col("i") + 1)).alias("j", "b"))
+            .groupBy("i", "j")
+            .agg(
+                F.sum(F.col("n") * (F.col("y") - F.col("p")) * F.col("a")),
+                F.sum(F.col("n") * F.col("p") * (1 - F.col("p")) * F.col("a") * F.col("b")),
+            )
+            .collect()
+        )  # one a pair of inputs
+        slope = np.zeros(len(inputs))
+        curve = np.eye(len(inputs))
+        for i, j, first, second in rows:
+            curve[i, j] += second
             if i != j:
-                curve[j, i] += value
-        weights = np.round(weights + np.clip(np.linalg.solve(curve, slope), -4, 4), 9)
+                curve[j, i] += second
+            else:
+                slope[i] = first
+        weights = np.round(weights + np.clip(np.linalg.solve(curve, slope - weights), -4, 4), 9)
     return SpanModel(prior, reliability, weights)
 
 
