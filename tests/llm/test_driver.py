@@ -7,8 +7,8 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from txmon.llm import common, pii
 from txmon.llm import components as tree
-from txmon.llm import pii
 
 
 def _captured(monkeypatch, spark) -> list:
@@ -72,3 +72,16 @@ def test_rounds_of_components_have_small_plans(spark, monkeypatch):
     assert sorted((r.node, r.root) for r in found) == sorted(label.items())
     # Edges are read at most four times in a round's plan; a union in each step made it sixteen.
     assert len(plans) >= 2 and max(len(re.findall("Relation", p)) for p in plans[1:]) <= 4
+
+
+def test_a_stored_table_is_read_without_a_job(spark):
+    table = spark.range(9).selectExpr("id", "array(named_struct('a', cast(id as string))) AS x", "unhex('ff') AS b")
+    context = spark.sparkContext
+    context.setJobGroup("stored-table", "")
+    try:
+        read = common.store(table, "known")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("stored-table")) == 1
+    assert read.dtypes == table.dtypes and sorted(read.collect()) == sorted(table.collect())
+    assert common.store(table.limit(0), "none").dtypes == table.dtypes

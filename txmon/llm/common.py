@@ -60,10 +60,13 @@ def ascii_lower(text: Column) -> Column:
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` once in the shared scratch folder and reads it back."""
+    """Writes ``df`` once in the shared scratch folder and reads it back.
+
+    The columns are known: looking them up in the files would be a job more for each table.
+    """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
