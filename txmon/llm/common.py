@@ -6,15 +6,16 @@ import contextlib
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.session import scratch_dir
+from txmon.session import scratch_dir, short_shuffles
 
 # The white space of the word rule: space and 0x09 to 0x0D.
 WORD_SPACE = " \t\n\x0b\f\r"
@@ -59,14 +60,38 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+# Where stored tables lie, as long as they are known.
+_stored: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` once in the shared scratch folder and reads it back.
 
     The columns are known: looking them up in the files would be a job more for each table.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store_each([df], label)
+
+
+def store_each(parts: Iterable[DataFrame], label: str) -> DataFrame:
+    """As :func:`store`, of one part after another; the shuffles of a part go with its end."""
+    path, schema = "", None
+    for df in parts:
+        spark, schema = df.sparkSession, df.schema
+        path = path or scratch_dir(spark, label)
+        with short_shuffles(spark):
+            df.write.mode("append").parquet(path)
+    read = spark.read.schema(schema).parquet(path)
+    _stored[read] = path
+    return read
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for table in tables:
+        if path := _stored.pop(table, None):
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextlib.contextmanager
@@ -112,9 +137,18 @@ def may_be_in(ids: DataFrame, key: str) -> Callable[[Column], Column]:
     return possible
 
 
-def only_ids(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` occurs in ``key`` of ``ids``, moving few others."""
+def only_ids(
+    df: DataFrame,
+    column: str,
+    ids: DataFrame,
+    key: str,
+    made: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Rows of ``df`` whose ``column`` occurs in ``key`` of ``ids``, moving few others.
+
+    What is ``made`` of them, which has the column, moves instead: a digest rather than a text.
+    """
     wanted = ids.select(F.col(key).alias("__wanted")).distinct()
-    return df.filter(may_be_in(ids, key)(F.col(column))).join(
+    return made(df.filter(may_be_in(ids, key)(F.col(column)))).join(
         wanted, F.col(column).eqNullSafe(F.col("__wanted")), "left_semi"
     )

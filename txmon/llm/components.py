@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txmon.llm.common import store
+from txmon.llm.common import discard, store
 from txmon.operators.joins import attach
 
 # Edges that a task contracts at a time.
@@ -90,7 +90,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Smaller neighbours and the node itself are tied to the smallest one.
         small = _smallest(large, "n")
         tied = _each(small, ("u", "v"), ("w", "least"), ("n", "least"))
-        now = store(tied.filter("u <> v").distinct(), "edges")
+        before, now = now, store(tied.filter("u <> v").distinct(), "edges")
+        discard(before)
         new = now.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum("v")
         ).first()

@@ -9,8 +9,11 @@
    sets enumerate all 2-subsets of the longer prefix; large ones, and what is nearly large, are
    listed under every prefix element. The boundary is the size with the least total cost: for
    both kinds of keys, the bytes of the keys and of the entries of the lists they make.
-   Documents that meet under a key are grouped.
-4. Inside a group inverted lists are scanned for exact overlaps, large groups in blocks.
+   Sets meet in windows of size: in its own a set meets its like and smaller ones, in the next
+   the larger ones. Sets that meet under a key of a window are grouped, so a chain of chance
+   meetings can't tie sets of all sizes together.
+4. Inside a group inverted lists are scanned for exact overlaps, large groups in blocks. Where
+   sets would lie on the disks several times for it, groups are verified in rounds.
 """
 
 from __future__ import annotations
@@ -22,12 +25,22 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.llm.common import documents, only_ids, partitions, small_batches, store
-from txmon.llm.components import components
+from txmon.llm.common import (
+    discard,
+    documents,
+    may_be_in,
+    only_ids,
+    partitions,
+    small_batches,
+    store,
+    store_each,
+)
+from txmon.llm.components import _forest, components
 from txmon.operators.joins import attach
+from txmon.session import short_shuffles
 
 SHINGLE = 5
 # Similarity at least this many percent.
@@ -37,16 +50,23 @@ _TEXT_CHUNK = 1 << 19
 _SORT_CHUNK = 1 << 18
 _MANY = 0xFFFF
 # Bits of a sketch's slots, least and most; in between as the number of shingles has. The driver
-# holds three such sketches, and tasks get them.
+# holds two such sketches, and tasks get them. The one that orders shingles has more slots, as
+# one that holds many tells rare shingles from frequent ones no more.
 _SLOT_BITS = (16, 20)
+_RANK_BITS = 23
 _PARTS = 16
 # Bytes of a key with its document, and of a list's entry.
 _KEY_BYTES = 16
 _ENTRY_BYTES = 8
 # A set with more 2-subsets is priced by their bytes alone.
 _PAIRS = 1 << 12
+# Keys that a task ties at once, and lists that it ties though none of them may link.
+_KEY_CHUNK = 1 << 20
+_MANY_LOWER = 16
 # Shingles in a group that is verified at once; larger groups are cut in blocks.
 _BLOCK = 800_000
+# Shingles that are moved at once whatever the sets have; beyond, a quarter of the sets' a round.
+_ROUND = 1 << 26
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -335,15 +355,17 @@ def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- 3. keys under which sets can meet ---
 
 
-def _counts(keys: Callable[[np.ndarray], Sequence[np.ndarray]], kinds: int, bits: int):
+def _counts(keys: Callable[[np.ndarray], Sequence[np.ndarray]], kinds: int, bits: int, kind: type):
     """How many keys of each kind fall on each slot, of all sets of a task."""
+    most = np.iinfo(kind).max
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((kinds, 1 << bits), dtype=np.uint32)
+        counts = np.zeros((kinds, 1 << bits), dtype=kind)
         for batch in batches:
             for x in batch.column(2).to_pylist():
                 for own, found in zip(counts, keys(np.frombuffer(x, dtype=_U)), strict=True):
-                    np.add.at(own, _slot(found, bits), 1)
+                    at, n = np.unique(_slot(found, bits), return_counts=True)
+                    own[at] += np.minimum(n, most - own[at]).astype(kind)
         task = TaskContext.get().partitionId()
         parts = [p.tobytes() for p in np.split(counts.ravel(), _PARTS * kinds)]
         yield pa.RecordBatch.from_arrays(
@@ -358,33 +380,49 @@ def _counts(keys: Callable[[np.ndarray], Sequence[np.ndarray]], kinds: int, bits
     return run
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, dtype=np.uint32).astype(np.uint32) for x in table["counts"].to_pylist())
-    return pa.table(
-        {
-            "part": table["part"][:1],
-            "salt": table["salt"][:1],
-            "counts": pa.array([total.astype(np.uint32).tobytes()], pa.binary()),
-        }
-    )
+def _add_up(given: type, wanted: type):
+    most = np.iinfo(wanted).max
+
+    def run(table: pa.Table) -> pa.Table:
+        total = np.int64(0)
+        for x in table["counts"].to_pylist():
+            total = np.minimum(total + np.frombuffer(x, dtype=given), most)
+        return pa.table(
+            {
+                "part": table["part"][:1],
+                "salt": table["salt"][:1],
+                "counts": pa.array([total.astype(wanted).tobytes()], pa.binary()),
+            }
+        )
+
+    return run
 
 
 def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> _U(64 - bits)).astype(np.int64)
 
 
-def _sketch(sets: DataFrame, keys, kinds: int, bits: int) -> np.ndarray:
-    """Counts by kind and slot: 4 MB a kind at most, for any corpus."""
+def _sketch(
+    sets: DataFrame, keys, kinds: int, bits: int, kind: type = np.uint32, total: type = np.uint32
+) -> np.ndarray:
+    """Counts by kind and slot, for any corpus: no more than ``kind`` in a task, ``total`` in all."""
     form = "part int, salt int, counts binary"
-    rows = sets.mapInArrow(_counts(keys, kinds, bits), form)
-    rows = rows.groupBy("part", "salt").applyInArrow(_add_up, form)
-    rows = rows.groupBy("part").applyInArrow(_add_up, form)
-    parts = {r.part: np.frombuffer(r.counts, dtype=np.uint32) for r in rows.collect()}
+    rows = sets.mapInArrow(_counts(keys, kinds, bits, kind), form)
+    rows = rows.groupBy("part", "salt").applyInArrow(_add_up(kind, total), form)
+    rows = rows.groupBy("part").applyInArrow(_add_up(total, total), form)
+    parts = {r.part: np.frombuffer(r.counts, dtype=total) for r in rows.collect()}
     if not parts:
-        return np.zeros((kinds, 1 << bits), dtype=np.uint32)
+        return np.zeros((kinds, 1 << bits), dtype=total)
     return np.concatenate([parts[i] for i in range(_PARTS * kinds)]).reshape(kinds, -1)
 
 
+def _rank(sets: DataFrame, shingles: int) -> np.ndarray:
+    """Of each slot how frequent its shingles are, as a power of two."""
+    bits = min(max(int(shingles).bit_length(), _SLOT_BITS[0]), _RANK_BITS)
+    counters = _sketch(sets, lambda hashes: [hashes], 1, bits, np.uint8, np.uint16)[0]
+    return np.ceil(np.log2(counters + np.float32(1))).astype(np.uint8)
+
+
 def _size_class(n: np.ndarray | int) -> np.ndarray | int:
     """Classes of set sizes, at most four to a doubling."""
     return np.floor(4 * np.log2(n)).astype(np.int64)
@@ -465,7 +503,7 @@ def _costs(rank: np.ndarray, lists: np.ndarray):
 
 def _boundary(sets: DataFrame, rank: np.ndarray) -> int:
     """The largest size class that enumerates subsets, by least total cost."""
-    lists = _sketch(sets, _both_keys(rank), 2, len(rank).bit_length() - 1)
+    lists = _sketch(sets, _both_keys(rank), 2, min(len(rank).bit_length() - 1, _SLOT_BITS[1]))
     rows = (
         sets.mapInArrow(_costs(rank, lists), "kind long, light double, heavy double")
         .groupBy("kind")
@@ -482,54 +520,148 @@ def _boundary(sets: DataFrame, rank: np.ndarray) -> int:
     return at
 
 
-def _keys(rank: np.ndarray, boundary: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys: list[np.ndarray] = []
-            ids: list[int] = []
-            size = 0
-            for doc_id, x in zip(
-                batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True
-            ):
-                own = _document_keys(np.frombuffer(x, dtype=_U), rank, boundary)
-                keys.append(own)
-                ids.append(doc_id)
-                size += len(own)
-                if size > 1 << 18:
-                    yield _key_batch(keys, ids)
-                    keys, ids, size = [], [], 0
-            if ids:
-                yield _key_batch(keys, ids)
+def _window_starts() -> np.ndarray:
+    """The least size of each window: no set is linked to one beyond the next window."""
+    starts = [1]
+    while starts[-1] < 1 << 48:
+        starts.append(max(starts[-1] + 1, 100 * (starts[-1] - 1) // PERCENT + 1))
+    return np.array(starts)
 
-    return run
+
+_WINDOWS = _window_starts()
+
+
+def _window(n: np.ndarray | int) -> np.ndarray | int:
+    return np.searchsorted(_WINDOWS, n, side="right")
 
 
-def _document_keys(hashes: np.ndarray, rank: np.ndarray, boundary: int) -> np.ndarray:
+def _document_keys(hashes: np.ndarray, rank: np.ndarray, boundary: int) -> list[np.ndarray]:
+    """Keys of a set in its own window, then in the next one.
+
+    Of two linked sets, the larger has the first element of both in its prefix. The smaller has
+    it in a shorter prefix, as it must share more of itself with a larger one.
+    """
     n = len(hashes)
     needed = _needed(n)
     # A set that must share all but less than one element meets only its equal.
     if needed < 2:
-        return hashes[:0]
+        return [hashes[:0], hashes[:0]]
     length = n - needed + 1
     prefix = _ordered(hashes, rank, length + 1)
     small = int(_size_class(n)) <= boundary
-    keys = []
     # Sets over the boundary, and small ones that can be linked with them.
-    if int(_size_class(max(n, 100 * n // PERCENT))) > boundary:
-        keys.append(_element_keys(prefix, length))
-    if small:
-        keys.append(_pair_keys(prefix))
-    return np.concatenate(keys)
-
-
-def _key_batch(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate(keys).view(np.int64)),
-            pa.array(np.repeat(np.array(ids, dtype=np.int64), [len(k) for k in keys])),
-        ],
-        names=["key", "doc_id"],
-    )
+    large = int(_size_class(max(n, 100 * n // PERCENT))) > boundary
+    found = []
+    for later, own in enumerate((length, n - _needed_of_both(n) + 1)):
+        keys = []
+        if large:
+            keys.append(_element_keys(prefix, own))
+        if small:
+            keys.append(_pair_keys(prefix[: own + 1]))
+        found.append(np.concatenate(keys) ^ mix(np.array([_window(n) + later], dtype=_U)))
+    return found
+
+
+def _needed_of_both(n: int) -> int:
+    """Overlap that a set of this size has with any at least as large that it is linked to."""
+    return -(-2 * PERCENT * n // (100 + PERCENT))
+
+
+_MET = "bucket int, keys binary, nodes binary, u binary, v binary"
+
+
+def _keys(rank: np.ndarray, boundary: int, buckets: int):
+    """Keys with the nodes that have them, by bucket; those that meet in a task are tied there.
+
+    A node is twice a set's mark, plus one in the later window. There a set meets only sets of
+    the window itself, so a list without any makes no ties; if it is long, it is tied all the
+    same, as a frequent key must not send all its entries to one bucket.
+    """
+    bits = buckets.bit_length() - 1
+
+    def tied(number: int, keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+        owners = np.repeat(np.array(nodes, dtype=np.int64), [len(k) for k in keys])
+        every, owners, head, first, count = _lists(np.concatenate(keys), owners)
+        tie = ((head & 1) == 0) | (count > _MANY_LOWER)
+        u, v = _tied(owners, head, tie)
+        every, owners = every[first | ~tie], owners[first | ~tie]
+        cuts = [np.searchsorted(every, _U(p << (64 - bits))) for p in range(1, buckets)]
+        low = (every >> _U(32 - bits)).astype(np.uint32)
+        own = number % buckets
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(range(buckets), pa.int32()),
+                pa.array([x.tobytes() for x in np.split(low, cuts)], pa.binary()),
+                pa.array([x.tobytes() for x in np.split(owners, cuts)], pa.binary()),
+                pa.array([u.tobytes() if p == own else None for p in range(buckets)], pa.binary()),
+                pa.array([v.tobytes() if p == own else None for p in range(buckets)], pa.binary()),
+            ],
+            names=["bucket", "keys", "nodes", "u", "v"],
+        )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        keys: list[np.ndarray] = []
+        nodes: list[int] = []
+        size = 0
+        for batch in batches:
+            for mark, x in zip(
+                batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True
+            ):
+                own = _document_keys(np.frombuffer(x, dtype=_U), rank, boundary)
+                keys += own
+                nodes += [2 * mark, 2 * mark + 1]
+                size += sum(map(len, own))
+                if size > _KEY_CHUNK:
+                    yield tied(number, keys, nodes)
+                    keys, nodes, size = [], [], 0
+                    number += 1
+        if size:
+            yield tied(number, keys, nodes)
+
+    return run
+
+
+def _lists(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Entries by key, with the node at the head of the list, whether it is that, and the length.
+
+    At the head is one of the window itself, if there is any.
+    """
+    order = np.lexsort((nodes & 1, keys))
+    keys, nodes = keys[order], nodes[order]
+    first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    at = np.flatnonzero(first)
+    count = np.diff(np.append(at, len(keys)))
+    return keys, nodes, np.repeat(nodes[at], count), first, np.repeat(count, count)
+
+
+def _tied(nodes: np.ndarray, head: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    tie = tie & (nodes != head)
+    return _forest(nodes[tie], head[tie])
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """In a bucket: edges between nodes that have a key in common.
+
+    Keys are compared by 32 bits and the bucket's: there can only be too many edges.
+    """
+
+    def column(name: str, kind: type) -> np.ndarray:
+        found = [np.frombuffer(x, dtype=kind) for x in table[name].to_pylist() if x is not None]
+        return np.concatenate(found) if found else np.zeros(0, dtype=kind)
+
+    _, nodes, head, _, _ = _lists(column("keys", np.uint32), column("nodes", np.int64))
+    u, v = _tied(nodes, head, (head & 1) == 0)
+    u, v = np.append(u, column("u", np.int64)), np.append(v, column("v", np.int64))
+    u, v = _forest(u, v)
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _meetings(sets: DataFrame, rank: np.ndarray, boundary: int) -> DataFrame:
+    """``(u, v)``: nodes that meet, as edges that keep their components; ``sets`` have a mark first."""
+    buckets = 1 << max(3, (partitions(sets.sparkSession) - 1).bit_length())
+    sent = sets.mapInArrow(_keys(rank, boundary, buckets), _MET)
+    return sent.groupBy("bucket").applyInArrow(_meet, "u long, v long")
 
 
 # --- 4. exact overlaps inside groups ---
@@ -545,6 +677,9 @@ def _verify(table: pa.Table) -> pa.Table:
     weight = table["copies"].to_numpy()
     sets = [np.frombuffer(x, dtype=_U) for x in table["hashes"].to_pylist()]
     sizes = np.array([len(s) for s in sets])
+    # Of two sets of a window, one at least must be its own.
+    later = table["later"].to_numpy() if "later" in table.column_names else np.zeros(len(sizes), int)
+    window = _window(sizes) + later if "later" in table.column_names else later
     owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     every = np.concatenate(sets)
     # Inverted lists of the elements that several sets have.
@@ -581,6 +716,7 @@ def _verify(table: pa.Table) -> pa.Table:
         overlap = np.bincount(lists[scan], minlength=len(sizes))
         linked = 100 * overlap >= PERCENT * (sizes + sizes[a] - overlap)
         linked[a] = False
+        linked &= (window == window[a]) & ((later == 0) | (later[a] == 0))
         if cross:
             linked &= side != side[a]
         partners = np.flatnonzero(linked)
@@ -598,34 +734,88 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u, kind), "v": pa.array(v, kind), "n_links": pa.array(n, kind)})
 
 
-def _groups(keys: DataFrame, sets: DataFrame) -> DataFrame:
+def _groups(meets: DataFrame, classes: DataFrame) -> DataFrame:
     """Sets with the groups they are verified in; a set of a large group has several."""
-    first = keys.groupBy("key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n"))
-    meets = attach(keys, first.filter("n > 1"), ["key"]).filter("v IS NOT NULL AND v <> doc_id")
-    grouped = store(components(meets.select(F.col("doc_id").alias("u"), "v")), "join-groups")
+    grouped = store(components(meets), "join-groups")
+    by_mark = classes.select(F.col("mark").alias("__mark"), "digest", "node", "copies", "n")
     sized = store(
-        grouped.join(sets.select("doc_id", "n"), F.col("node") == F.col("doc_id"))
-        .select("doc_id", "root", "n"),
+        grouped.select(
+            F.shiftright("node", 1).alias("mark"),
+            F.col("node").bitwiseAND(F.lit(1)).cast("int").alias("later"),
+            "root",
+        )
+        .join(by_mark, F.col("mark") == F.col("__mark"))
+        .drop("__mark"),
         "join-sizes",
     )
-    whole = sized.groupBy("root").agg(F.sum("n").alias("total"))
+    whole = sized.groupBy("root").agg(F.sum("n").alias("total"), F.min("later").alias("none"))
     bundles = (sized.agg(F.sum("n")).first()[0] or 0) // _BLOCK + 1
     blocks = F.ceil(F.col("total") / _BLOCK)
-    placed = attach(sized, whole, ["root"]).select(
-        "doc_id",
+    # Sets that no set of the window itself has met are in no group.
+    placed = attach(sized, whole.filter("none = 0"), ["root"]).filter("total IS NOT NULL").select(
+        "digest",
+        "mark",
+        "node",
+        "copies",
+        "later",
+        "n",
         F.when(blocks == 1, -1 - F.pmod(F.xxhash64("root"), F.lit(bundles)))
         .otherwise(F.col("root"))
         .alias("place"),
-        F.pmod(F.xxhash64("doc_id"), blocks).alias("side"),
+        F.pmod(F.xxhash64("node"), blocks).alias("side"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
     )
-    return placed.select(
-        F.col("doc_id").alias("__id"),
-        "place",
-        "side",
-        F.least("side", "other").alias("i"),
-        F.greatest("side", "other").alias("j"),
+    placed = store(
+        placed.select(
+            "digest",
+            "mark",
+            F.col("node").alias("doc_id"),
+            "copies",
+            "later",
+            "n",
+            "place",
+            "side",
+            F.least("side", "other").alias("i"),
+            F.greatest("side", "other").alias("j"),
+        ),
+        "join-places",
     )
+    discard(grouped, sized)
+    return placed
+
+
+def _rounds(placed: int, shingles: int) -> int:
+    """In how many rounds groups are verified.
+
+    A round moves each of its sets twice. Together they may be moved many times, but at once
+    no more than half of what the stored sets have on the disks.
+    """
+    return 1 if placed <= _ROUND else -(-4 * placed // shingles)
+
+
+def _found(sets: DataFrame, classes: DataFrame, placed: DataFrame, shingles: int) -> DataFrame:
+    """The links of all groups; ``sets`` may have rows of other documents, and some repeated."""
+    rounds = _rounds(placed.agg(F.sum("n")).first()[0] or 0, shingles)
+    named = classes.select(F.col("digest").alias("__digest"), "rep")
+    number = F.pmod(F.xxhash64("place", "i", "j"), F.lit(rounds))
+    # In a form that Spark takes for no key of the join: sets are dealt once, by their digests.
+    same = F.when(F.col("rep").isNull(), F.col("doc_id").isNull()).otherwise(F.col("doc_id") == F.col("rep"))
+
+    def part(k: int) -> DataFrame:
+        own = placed.filter(number == k)
+        wanted = sets.filter(may_be_in(own, "mark")(F.col("mark")))
+        once = (
+            wanted.join(named, F.col("digest") == F.col("__digest"))
+            .filter(same)
+            .dropDuplicates(["digest"])
+            .select(F.col("digest").alias("__digest"), "hashes")
+        )
+        rows = own.join(once, F.col("digest") == F.col("__digest")).select(
+            "place", "i", "j", "side", "later", "doc_id", "copies", "hashes"
+        )
+        return rows.groupBy("place", "i", "j").applyInArrow(_verify, _FOUND)
+
+    return store_each((part(k) for k in range(rounds)), "join-found")
 
 
 def _linked(base: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -635,7 +825,7 @@ def _linked(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     digest, ``root`` a number of the component, ``rep`` the smallest id with an equal set. Sets are
     numbered by themselves, so texts that share an id or have none are linked by their own.
     """
-    with small_batches(base.sparkSession):
+    with small_batches(base.sparkSession), short_shuffles(base.sparkSession):
         return _linked_in_batches(base)
 
 
@@ -647,40 +837,42 @@ def _linked_in_batches(base: DataFrame) -> tuple[DataFrame, DataFrame]:
         "join-stats",
     )
     chosen = store(
-        only_ids(base, "doc_id", stats.filter("likely"), "doc_id").mapInArrow(_digests, _DIGESTS),
+        only_ids(
+            base,
+            "doc_id",
+            stats.filter("likely"),
+            "doc_id",
+            lambda rows: rows.mapInArrow(_digests, _DIGESTS),
+        ),
         "join-digests",
     )
+    # A set's mark is small, so that it takes little room beside a key; two sets may share one.
     classes = store(
         chosen.filter("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.count("*").alias("copies"),
+            F.max("n_shingles").alias("n"),
+        )
+        .withColumn("node", F.monotonically_increasing_id())
+        .withColumn("mark", _mark()),
         "join-classes",
     )
-    named = classes.select(F.col("digest").alias("__digest"), "rep", "node")
+    # Rows of other documents that pass the test, and repeated ones, are told apart when they move.
     sets = store(
-        only_ids(base, "doc_id", classes, "rep")
+        base.filter(may_be_in(classes, "rep")(F.col("doc_id")))
         .mapInArrow(_set_rows, _SETS)
-        .join(named, F.col("digest") == F.col("__digest"))
-        .filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-        .dropDuplicates(["digest"])
-        .select(F.col("node").alias("doc_id"), "n", "hashes"),
+        .filter("n > 0")
+        .withColumn("mark", _mark()),
         "join-sets",
     )
-
-    shingles = sets.agg(F.sum("n")).first()[0] or 0
-    bits = min(max(int(shingles).bit_length(), _SLOT_BITS[0]), _SLOT_BITS[1])
-    counters = _sketch(sets, lambda hashes: [hashes], 1, bits)[0]
-    rank = np.ceil(np.log2(counters + 1.0)).astype(np.uint8)
-    boundary = _boundary(sets, rank)
-    keys = store(sets.mapInArrow(_keys(rank, boundary), "key long, doc_id long"), "join-keys")
-    groups = _groups(keys, sets)
-    rows = (
-        groups.join(sets, F.col("__id") == F.col("doc_id"))
-        .join(classes.select(F.col("node").alias("__node"), "copies"), F.col("doc_id") == F.col("__node"))
-        .select("place", "i", "j", "side", "doc_id", "copies", "hashes")
-    )
-    found = store(rows.groupBy("place", "i", "j").applyInArrow(_verify, _FOUND), "join-found")
+    marked = sets.select("mark", "n", "hashes")
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    rank = _rank(marked, shingles)
+    placed = _groups(_meetings(marked, rank, _boundary(marked, rank)), classes)
+    found = _found(sets, classes, placed, shingles)
+    discard(sets, placed)
 
     roots = components(found.filter("v IS NOT NULL").select("u", "v"))
     links = found.filter("v IS NULL").groupBy("u").agg(F.sum("n_links").alias("n_links"))
@@ -692,8 +884,13 @@ def _linked_in_batches(base: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("root", "node").alias("root"),
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    members = attach(chosen, tied, ["digest"]).drop("digest")
-    return stats, store(members, "join-members")
+    members = store(attach(chosen, tied, ["digest"]).drop("digest"), "join-members")
+    discard(chosen, classes, found)
+    return stats, members
+
+
+def _mark() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("digest"), 24)
 
 
 def _by_ids(members: DataFrame) -> DataFrame:

@@ -71,6 +71,24 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
+@contextlib.contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in the block leave no shuffle files behind.
+
+    Otherwise they lie on the disks until the driver happens to collect its garbage.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """The size of the files below a path, as the file system knows it."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
