@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmon.session import scratch_dir, short_shuffles
+from txmon.session import delete_folder, scratch_dir, short_shuffles
 
 # The white space of the word rule: space and 0x09 to 0x0D.
 WORD_SPACE = " \t\n\x0b\f\r"
@@ -89,9 +89,7 @@ def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for table in tables:
         if path := _stored.pop(table, None):
-            context = table.sparkSession.sparkContext
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(table.sparkSession, path)
 
 
 @contextlib.contextmanager

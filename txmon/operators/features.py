@@ -79,17 +79,26 @@ def with_rapid_sequence(df: DataFrame, seconds: int = 10 * 60) -> DataFrame:
     return _by_second(df, ranges.drop("prev24h_credit_sum_usd"))
 
 
-def with_account_features(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG) -> DataFrame:
-    """Near-threshold, prior-credit and burst features in one join on the transactions."""
+def with_account_features(
+    df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG, known: DataFrame | None = None
+) -> DataFrame:
+    """Near-threshold, prior-credit and burst features in one join on the transactions.
+
+    ``known`` are the :func:`account_features` of all transactions, if ``df`` has not all.
+    """
+    return _by_second(df, account_features(df, cfg) if known is None else known)
+
+
+def account_features(df: DataFrame, cfg: RuleConfig = DEFAULT_RULES_CONFIG) -> DataFrame:
+    """The features of each account and second that has transactions."""
     ranges = _ranges(_per_second(df), cfg.credit_lookback_seconds, cfg.burst_radius_seconds)
     day = F.to_date(F.timestamp_seconds("ts_sec"))
-    features = (
+    return (
         ranges.withColumn("booking_date", day)
         .join(near_threshold_daily(df, cfg), ["account_id", "booking_date"], "left")
         .withColumns(_near_or_zero())
         .drop("booking_date")
     )
-    return _by_second(df, features)
 
 
 def _near_or_zero() -> dict[str, Column]:

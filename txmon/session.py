@@ -96,6 +96,13 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(folder).getLength()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of files that nothing reads any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for written intermediates, in the folder all executors share.
 

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txmon.session import short_shuffles
+
 LAYERS = ("bronze", "silver", "gold")
 
 _PARTITION_TYPES = (T.DateType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -38,23 +40,28 @@ def ensure_layers(spark: SparkSession, prefix: str = "", location: str | None =
 
 
 def write_layer(
-    df: DataFrame,
+    df: DataFrame | Sequence[DataFrame],
     layer: str,
     name: str,
     prefix: str = "",
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    observe: tuple[Observation, Sequence[Column]] | None = None,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Replace the table and return it as read back, so later steps start from storage.
 
+    Several frames are parts of it and written one after another; the shuffle files of each go
+    with its end.
+
     With ``partition_by`` a value's rows are gathered before they are written, so that a
     folder gets as many files as its size calls for, however many tasks the plan has;
     adaptive execution splits a value with many rows. ``cluster_by`` sorts inside the files.
     No dictionaries: most columns are times and ids, which fill them and are then written
     again without, and the compression finds what the others repeat.
-    ``observe`` takes aggregates of what is written, without another scan.
+    ``observe`` takes aggregates of what is written in a part, without another scan.
     """
+    parts = [df] if isinstance(df, DataFrame) else list(df)
+    df = parts[0]
     spark = df.sparkSession
     # Folder names don't tell a text of digits from a number.
     odd = [c for c in partition_by if not isinstance(df.schema[c].dataType, _PARTITION_TYPES)]
@@ -66,14 +73,16 @@ def write_layer(
     number = int(_VERSION.search(current)[1]) + 1 if current else 1
     version = f"{folder}/version-{number:08d}-{uuid.uuid4().hex[:12]}"
 
-    rows = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
-    if cluster_by:
-        rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
-    if observe:
-        # In the stage that writes: a map stage repeated for a lost executor counts twice.
-        rows = rows.observe(observe[0], *observe[1])
-    plain = {"parquet.enable.dictionary": "false"}
-    rows.write.partitionBy(*partition_by).options(**plain).parquet(version)
+    plain = {"parquet.enable.dictionary": "false", "compression": "zstd"}
+    for part in parts:
+        rows = part.hint("rebalance", *map(F.col, partition_by)) if partition_by else part
+        if cluster_by:
+            rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
+        if observe:
+            # In the stage that writes: a map stage repeated for a lost executor counts twice.
+            rows = observe(rows)
+        with short_shuffles(spark):
+            rows.write.mode("append").partitionBy(*partition_by).options(**plain).parquet(version)
     try:
         spark.read.parquet(version)
     except AnalysisException as unreadable:

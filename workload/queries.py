@@ -70,11 +70,12 @@ def _raw_file(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[str, pipeline.Layers]:
-    """The prefix of the layers' schemas, and the layers."""
+    """The prefix of the layers' schemas, and the layers; the raw files are no longer needed then."""
     root = scratch_dir(spark, "layers")
     prefix = "run_" + root.rsplit("-", 1)[-1] + "_"
     raw = _raw_file(spark, sf_dir)
-    return prefix, pipeline.run(spark, raw, _rates(spark, sf_dir), prefix, root)
+    made = pipeline.run(spark, raw, _rates(spark, sf_dir), prefix, root, keep_raw=False)
+    return prefix, made
 
 
 # --- sources, sinks, layers ---

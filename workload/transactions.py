@@ -48,7 +48,7 @@ def transactions(spark: SparkSession, sf_dir: str, spread: bool = False) -> Data
     """Typed transactions, one per event.
 
     A task reads whole row groups, and a table may have few. ``spread`` deals the narrow
-    events to more tasks, for what makes much of each.
+    events to more tasks, for what makes much of each, each a range of them as they arrived.
     """
     event = F.col("event_id")
     # Every fifth user has an account of their own, the others share 20 hot ones.
@@ -81,7 +81,7 @@ def transactions(spark: SparkSession, sf_dir: str, spread: bool = False) -> Data
             int(spark.conf.get("spark.sql.shuffle.partitions")),
             spark.sparkContext.defaultParallelism,
         )
-        events = events.repartition(tasks, "event_id")
+        events = events.repartitionByRange(tasks, "event_id")
     typed = events.select(
         F.concat(F.lit("T"), event).alias("transaction_id"),
         F.concat(F.lit("A"), user).alias("account_id"),
