@@ -114,7 +114,7 @@ def test_raw_files_hold_ranges_of_what_arrived(spark):
     assert all(a["hi"] < b["lo"] for a, b in zip(ranges, ranges[1:]))
 
 
-@pytest.mark.parametrize("query", ["layer_listing", "pipeline_alerts"])
+@pytest.mark.parametrize("query", ["layer_listing", "layer_counts", "pipeline_alerts"])
 def test_runs_leave_their_tables_only(spark, query, monkeypatch):
     made = []
     raw = registry._raw_file
