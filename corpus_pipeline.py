@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmon.llm import exact_dedup, jaccard, packing, pii, quality
-from txmon.llm.common import may_be_in, ship_code, store
+from txmon.llm.common import discard, may_be_in, ship_code, store
 from txmon.operators.joins import attach
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -138,10 +138,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written in the shared folder."""
+    """All stages over ``documents``, each written in the shared folder until the next is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = store(docs, f"stage-{i + 1}")
+            discard(before)
     return docs

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import random
+import time
+from pathlib import Path
 
+import corpus_pipeline
 import llm_brute as brute
 import numpy as np
 from pyspark.sql import functions as F
 
 from txmon.llm import common, jaccard
-from txmon.session import _local_root, short_shuffles
+from txmon.session import scratch_dir, short_shuffles
 
 
 def _table(spark, docs):
     return spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
 
 
+def _scratch(spark):
+    """The folder that stored tables lie in."""
+    return Path(scratch_dir(spark, "none").removeprefix("file:")).parent
+
+
 def _near_copies(groups, seed=1):
     rng = random.Random(seed)
     docs = {}
@@ -29,24 +37,53 @@ def _near_copies(groups, seed=1):
 
 
 def test_only_what_the_result_reads_stays_on_the_disks(spark):
-    from pathlib import Path
-
-    at = Path(_local_root(), "txmon", spark.sparkContext.applicationId)
+    at = _scratch(spark)
     before = set(at.glob("*"))
     docs = _near_copies(20)
     found = {r.doc_id: tuple(r)[1:] for r in jaccard.ngram_join(_table(spark, docs)).collect()}
     assert found == brute.op3(docs)
     left = {p.name.rsplit("-", 1)[0] for p in set(at.glob("*")) - before}
+    assert "join-members" in left
     assert left <= {"join-stats", "join-members", "join-ids", "edges"}
 
 
+def test_the_pipeline_keeps_one_stage(spark, tmp_path, monkeypatch):
+    spark.range(6).selectExpr("id AS doc_id", "'a text' AS text").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    at = _scratch(spark)
+    before = set(at.glob("stage-*"))
+    stages = [(f"{k}", lambda s, docs, d: docs.where("doc_id > 0").selectExpr("doc_id - 1 AS doc_id", "text")) for k in range(4)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    made = corpus_pipeline.run(spark, str(tmp_path))
+    assert {p.name.rsplit("-", 1)[0] for p in set(at.glob("stage-*")) - before} == {"stage-3"}
+    assert sorted(r.doc_id for r in made.collect()) == [0, 1]
+
+
+def test_near_copies_leave_no_sets(spark):
+    docs = _near_copies(15, seed=4)
+    table = _table(spark, docs).selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    at = _scratch(spark)
+    before = set(at.glob("*"))
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, table, "").collect()}
+    assert kept == {component for _, component, _ in brute.op3(docs).values()}
+    left = {p.name.rsplit("-", 1)[0] for p in set(at.glob("*")) - before}
+    assert "join-members" in left
+    assert not left & {"join-sets", "join-places", "join-found", "join-groups", "join-sizes"}
+
+
 def test_a_stored_table_leaves_no_shuffle(spark):
     kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     count = lambda: sum("shuffle_" in str(f) for f in _files(kept))
     rows = spark.range(10_000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()
     before = count()
-    assert common.store(rows, "rows").count() == 7
+    stored = common.store(rows, "rows")
+    for _ in range(50):  # they go a moment later
+        if count() <= before:
+            break
+        time.sleep(0.1)
     assert count() <= before
+    assert stored.count() == 7
     with short_shuffles(spark):
         pass
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"

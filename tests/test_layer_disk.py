@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -94,6 +95,10 @@ def test_layers_are_compressed_and_leave_no_shuffle(spark, tmp_path):
     before = shuffles()
     rows = spark.range(5000).repartition(7, "id").withColumn("part", F.col("id") % 3)
     layers.write_layer(rows, "gold", "t", "dc_", partition_by=["part"])
+    for _ in range(50):  # they go a moment later
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
     assert shuffles() <= before
     written = list(_folder(layers.current_version(spark, "gold", "t", "dc_")).glob("*/*.parquet"))
     assert len(written) >= 3
